@@ -24,7 +24,25 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes_and_taken(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from pelagia.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pelagia.llm.toxicity import scored, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = train(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    out = scored(docs, model, ["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES = {"op3_toxicity": op3_toxicity, "op9_packing": op9_packing, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
 
 #: The blanks [\x20\x09-\x0D] as DuckDB writes them.
 _BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
