@@ -42,7 +42,20 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
-QUERIES = {"op3_toxicity": op3_toxicity, "op9_packing": op9_packing, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
+def op4_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pelagia.llm.flac import media_column, media_digests
+
+    return media_digests(media_column(_table(spark, sf_dir, "documents")))
+
+
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pelagia.llm.ann import PostingLists
+
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return PostingLists.fit(vectors).search(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
+QUERIES = {"op4_flac": op4_flac, "op10_ann": op10_ann, "op3_toxicity": op3_toxicity, "op9_packing": op9_packing, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
 
 #: The blanks [\x20\x09-\x0D] as DuckDB writes them.
 _BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
