@@ -55,7 +55,13 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PostingLists.fit(vectors).search(vectors, F.col("vec_id") % 100 == 0, 10)
 
 
-QUERIES = {"op4_flac": op4_flac, "op10_ann": op10_ann, "op3_toxicity": op3_toxicity, "op9_packing": op9_packing, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pelagia.llm.substring import digest, remove_repeats
+
+    return digest(remove_repeats(_table(spark, sf_dir, "documents")))
+
+
+QUERIES = {"op8_substring": op8_substring, "op4_flac": op4_flac, "op10_ann": op10_ann, "op3_toxicity": op3_toxicity, "op9_packing": op9_packing, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
 
 #: The blanks [\x20\x09-\x0D] as DuckDB writes them.
 _BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
