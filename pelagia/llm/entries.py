@@ -67,7 +67,20 @@ def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_rows(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"op1_near_dups": op1_near_dups, "op8_substring": op8_substring, "op4_flac": op4_flac, "op10_ann": op10_ann, "op3_toxicity": op3_toxicity, "op9_packing": op9_packing, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pelagia.llm.langid import identify
+
+    return identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pelagia.llm.licences import scan, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan(docs, train(docs))
+
+
+QUERIES = {"op2_langid": op2_langid, "op5_licences": op5_licences, "op1_near_dups": op1_near_dups, "op8_substring": op8_substring, "op4_flac": op4_flac, "op10_ann": op10_ann, "op3_toxicity": op3_toxicity, "op9_packing": op9_packing, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
 
 #: The blanks [\x20\x09-\x0D] as DuckDB writes them.
 _BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
