@@ -109,7 +109,8 @@ def train(docs: DataFrame, max_paragraphs: int = 4000, epochs: int = 12, seed: i
     plain = [w for w in corpus if w and not any(len(p & _pairs(w)) * 2 >= len(p) for p in known) and not any(x.startswith((b"licen", b"copyright")) for x in w)]
     pool = [w for p in plain for w in p] or [b"the"]
     classes = [*TEMPLATES, OTHER, NONE]
-    rows: list[tuple[list[bytes], int]] = [(w, len(classes) - 1) for w in plain]
+    again = -(-1500 // len(plain)) if plain else 0  # a small corpus counts as much as the templates' variants
+    rows: list[tuple[list[bytes], int]] = [(w, len(classes) - 1) for w in plain for _ in range(again)]
 
     def varied(words: list[bytes]) -> list[bytes]:
         kept = [w for w in words if rng.random() > 0.06] or words
@@ -144,7 +145,7 @@ def train(docs: DataFrame, max_paragraphs: int = 4000, epochs: int = 12, seed: i
     return Scanner(weights.astype(np.float32), bias, min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0), key=loss), classes)
 
 
-def scan(docs: DataFrame, scanner: Scanner, likely: float = 0.5, contained: float = 0.8) -> DataFrame:
+def scan(docs: DataFrame, scanner: Scanner, likely: float = 0.7, contained: float = 0.8) -> DataFrame:
     """doc_id, n_paragraphs, licences (confirmed families, sorted), n_confirmed, n_unknown, best (highest probability of a confirmed family)."""
     sent = docs.sparkSession.sparkContext.broadcast(scanner)
     templates = {c: [_pairs(_words(t.encode())) for t in ts] for c, ts in TEMPLATES.items()}
@@ -165,10 +166,10 @@ def scan(docs: DataFrame, scanner: Scanner, likely: float = 0.5, contained: floa
                 speak = np.bincount(np.repeat(np.arange(len(split)), size), margin[(flat >> np.uint64(64 - BITS)).astype(np.int64)] > 0.5, len(split)) > 0 if len(flat) else np.zeros(len(split), bool)
                 for i in np.flatnonzero(speak):
                     p = s.probabilities(split[i])
-                    if p[none] >= likely:
+                    if p[none] > 1 - likely:
                         continue
                     pairs = _pairs(split[i])
-                    ok = [(p[c], name) for c, name in enumerate(s.classes[:-2]) if p[c] >= likely and any(len(x & pairs) >= contained * len(x) for x in templates[name])]
+                    ok = [(p[c], name) for c, name in enumerate(s.classes[:-2]) if p[c] >= likely / 2 and any(len(x & pairs) >= contained * len(x) for x in templates[name])]
                     if ok:
                         confirmed += 1
                         found.add(max(ok)[1])
