@@ -50,7 +50,8 @@ def salted_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how:
 
     lookup is repeated once for each salt; it holds a row for a key, not for a document, so the copies stay small.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c not in keys]), F.lit(salts)).cast("int"))
+    other = [c for c in rows.columns if c not in keys]
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*other), F.lit(salts)).cast("int"))
     spread = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
 

@@ -1,36 +1,38 @@
 """Substring dedup by seed and extend.
 
-Seeds: every run of `seed` words is hashed, and of each `span - seed + 1` runs in a row the smallest hash is an anchor (winnowing),
-so two passages of `span` equal words share an anchor at the same place.  Anchors that occur more than once are joined with the
-smallest occurrence (document, position) of the same hash, and each pair is extended word by word both ways, at most as far as a
-window of `span` words around the anchor reaches: that gives the maximal repeat, kept when it has `span` words.
+Seeds: every run of `seed` words is hashed, and the smallest hash of the span - seed + 1 runs in a window of `span` words is that
+window's anchor (winnowing), so equal windows share an anchor at the same place.  Anchors that documents share are joined with
+the smallest occurrence (document, position) of the same hash; the pair is extended word by word both ways to its maximal repeat,
+which counts when it has `span` words.
 
-Only the smallest occurrence is paired, so a passage in n documents costs n pairs.  A window around an anchor that the extension
-doesn't cover differs from the smallest occurrence, and can only repeat in other occurrences whose own extension doesn't cover it
-either; those few windows are compared among themselves by a 128-bit hash, which closes the search: no repeat is lost.
+Only the smallest occurrence is paired, so a passage in n documents costs n pairs.  Windows of an anchor that the extension
+doesn't cover differ from the smallest occurrence's, so they can only repeat in other occurrences whose own extension doesn't
+cover them either; those few are compared among themselves by a 128-bit hash, which closes the search: no repeat is lost.
 
-A window counts as repeated in a document when its words also start in a document with a smaller doc_id; its words go there.
-Texts travel through shuffles compressed.
+A window counts as repeated when its words also start in a document with a smaller doc_id; its words go from the larger one.
+Texts are shuffled once, compressed, into a bucketed table that both the extension and the removal read; what travels besides is
+the segments of text around shared anchors.
 
-Cases: a null or empty text has no words; repeats within one document don't count; rows that repeat a doc_id are judged each
-against smaller ids only; rows without doc_id keep every word; texts shorter than a window keep every word.
+Cases: a null or empty text has no words; repeats within one document don't count; rows that repeat a doc_id are told apart by a
+tag of their text and judged against smaller ids only; rows without doc_id keep every word; texts shorter than a window, too.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import rolling, salted_lookup, staged, word_hashes
+from pelagia.llm.common import fresh_path, partitions, rolling, salted_lookup, staged, word_hashes
 
-SPAN, SEED = 50, 25
+SPAN, SEED = 50, 10
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -38,65 +40,81 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def winnow(words: list[bytes], seed: int = SEED, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of a text."""
+def _tag(raw: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(raw) & 0xFFFFF
+
+
+def winnow(words: list[bytes], seed: int = SEED, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every anchor: position, hash, and the first and last window (by its first word) that it is the anchor of."""
     if len(words) < span:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return (np.zeros(0, np.int64),) * 4
     h = rolling(word_hashes(words), seed)
     width = span - seed + 1
     best = np.lib.stride_tricks.sliding_window_view(h, width).argmin(1) + np.arange(len(h) - width + 1)
-    at = np.unique(best)
-    return at, h[at]
+    at, first = np.unique(best, return_index=True)
+    return at, h[at], first, np.append(first[1:], len(best)) - 1
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """row_id, doc_id and zipped: the text, compressed, under a hash that tells rows of one doc_id apart."""
+    """doc_id, tag and the compressed text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
             raw = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([xxhash.xxh3_64_intdigest(r) - (1 << 63) for r in raw], pa.int64()), pa.array([z.compress(r) for r in raw], pa.binary())], ["doc_id", "text_hash", "zipped"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_tag(r) for r in raw], pa.int32()), pa.array([z.compress(r) for r in raw], pa.binary())], ["doc_id", "tag", "zipped"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text_hash long, zipped binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, tag int, zipped binary")
 
 
 def anchors(docs: DataFrame, seed: int = SEED, span: int = SPAN) -> DataFrame:
-    """doc_id, text_hash, pos, h: every anchor of every text."""
+    """h, doc_id, place: every anchor of every text.
+
+    place packs the tag (20 bits), the position (31) and how far before it its first and last window begin (6 each).
+    """
+    if not 0 < span - seed < 64:
+        raise ValueError("a window may hold at most 63 words more than a seed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, hashes, pos, h = [], [], [], []
+            ids, place, h = [], [], []
             for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                text = t.as_py() or ""
-                at, x = winnow(words_of(text), seed, span)
+                raw = (t.as_py() or "").encode("utf-8", "surrogatepass")
+                at, x, first, last = winnow(raw.split(), seed, span)
                 if len(at):
-                    ids.append(np.full(len(at), d))
-                    hashes.append(np.full(len(at), xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63), np.int64))
-                    pos.append(at)
+                    ids.append(np.full(len(at), d, np.int64))
+                    place.append(_tag(raw) << 43 | at << 12 | (at - first) << 6 | (at - last))
                     h.append(x.view(np.int64))
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) for c, k in ((ids, pa.int64()), (hashes, pa.int64()), (pos, pa.int32()), (h, pa.int64()))], ["doc_id", "text_hash", "pos", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (h, ids, place)], ["h", "doc_id", "place"])
 
-    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id long, text_hash long, pos int, h long")
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "h long, doc_id long, place long")
 
 
-def _contexts(seed: int, span: int):
-    reach = span - seed
+def tag_of(place: Column) -> Column:
+    return F.shiftright(place, 43).cast("int")
+
+
+def _segments(span: int):
+    """The stretches of a text that its shared anchors' windows cover, each with its anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdDecompressor()
-        names = ["h", "doc_id", "text_hash", "pos", "before", "after"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string()]
+        unzip, z = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        names = ["doc_id", "tag", "segment", "words", "place", "h"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         for b in batches:
             rows = []
-            for d, th, zipped, at, hs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-                words = z.decompress(zipped.as_py()).split() if len(zipped.as_py()) else []
-                for p, h in zip(at, hs, strict=True):
-                    rows.append((h, d, th, p, b" ".join(words[max(0, p - reach) : p]).decode("utf-8", "surrogatepass"), b" ".join(words[p : p + seed + reach]).decode("utf-8", "surrogatepass")))
-                if len(rows) >= 2000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-                    rows = []
+            for d, tag, zipped, seeds in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
+                words, stretches = unzip.decompress(zipped.as_py()).split(), []
+                for s in sorted(seeds, key=lambda s: s["place"] & (1 << 43) - 1):
+                    at = s["place"] >> 12 & (1 << 31) - 1
+                    begin, end = at - (s["place"] >> 6 & 63), at - (s["place"] & 63) + span
+                    if stretches and begin <= stretches[-1][1]:
+                        stretches[-1][1] = max(stretches[-1][1], end)
+                        stretches[-1][2].append(s)
+                    else:
+                        stretches.append([begin, end, [s]])
+                rows += [(d, tag, begin, z.compress(b" ".join(words[begin:end])), [s["place"] for s in own], [s["h"] for s in own]) for begin, end, own in stretches]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
@@ -104,55 +122,77 @@ def _contexts(seed: int, span: int):
 
 
 def _extend(seed: int, span: int):
-    """Extension of each occurrence against the smallest one; what it covers, and the hashes of the windows it doesn't."""
-    reach = span - seed
+    """Each pair of segments, extended at every anchor: the maximal repeats, and the digests of the windows outside them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_hash", "begin", "finish", "window"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        unzip = zstandard.ZstdDecompressor()
+        names = ["doc_id", "tag", "begin", "finish", "window"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         for b in batches:
             rows = []
-            for d, th, p, before, after, first_doc, first_before, first_after in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                left, right = before.split(" ") if before else [], after.split(" ")
-                left0, right0 = first_before.split(" ") if first_before else [], first_after.split(" ")
-                a = 0
-                while a < len(left) and a < len(left0) and left[-1 - a] == left0[-1 - a]:
-                    a += 1
-                c = 0
-                while c < len(right) and c < len(right0) and right[c] == right0[c]:
-                    c += 1
-                if c < seed:
-                    a = c = -1  # another run with the same hash
-                elif a + c >= span and first_doc < d:
-                    rows.append((d, th, p - a, p + c, None))
-                words = left + right
-                for s in range(max(0, len(left) - reach), min(len(left), len(words) - span) + 1):
-                    back = len(left) - s  # words of the window before the anchor
-                    if not (back <= a and span - back <= c):
-                        rows.append((d, th, p - back, p - back + span, xxhash.xxh3_128_digest(" ".join(words[s : s + span]).encode("utf-8", "surrogatepass"))))
+            for d, tag, start, first_doc, first_start, pairs, own, other in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                x, y = unzip.decompress(own).split(), unzip.decompress(other).split()
+                done: dict[int, tuple[int, int]] = {}  # diagonal -> the last maximal repeat on it
+                for p in sorted(pairs, key=lambda p: p["place"] & (1 << 43) - 1):
+                    at = (p["place"] >> 12 & (1 << 31) - 1) - start
+                    to = (p["first"] >> 12 & (1 << 31) - 1) - first_start
+                    low, high = at - (p["place"] >> 6 & 63), at - (p["place"] & 63)
+                    left, right = done.get(at - to, (0, 0))
+                    if not (left <= at and at + seed <= right):
+                        if x[at : at + seed] == y[to : to + seed]:
+                            left = at
+                            while left and left > at - to and x[left - 1] == y[left - 1 - at + to]:
+                                left -= 1
+                            right = at + seed
+                            while right < len(x) and right - at + to < len(y) and x[right] == y[right - at + to]:
+                                right += 1
+                            done[at - to] = left, right
+                            if right - left >= span and first_doc < d:
+                                rows.append((d, tag, start + left, start + right, None))
+                        else:  # another run of words with the same hash
+                            left = right = -1
+                    for w in range(low, high + 1):
+                        if not (left <= w and w + span <= right):
+                            rows.append((d, tag, start + w, start + w + span, xxhash.xxh3_128_digest(b" ".join(x[w : w + span]))))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     return run
 
 
-def repeats(docs: DataFrame, seed: int = SEED, span: int = SPAN, packed: DataFrame | None = None) -> DataFrame:
-    """doc_id, text_hash and the word ranges (begin, finish) that repeat a passage of a smaller doc_id; ranges may overlap."""
-    packed = _packed(docs) if packed is None else packed
+def shared_seeds(docs: DataFrame, seed: int = SEED, span: int = SPAN) -> DataFrame:
+    """The anchors whose hash occurs in two documents or more, gathered by text: doc_id, tag, seeds."""
     found = staged(anchors(docs, seed, span), "anchors")
     shared = found.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("h")
-    seeds = salted_lookup(found, shared, ["h"], "inner")
-    at = seeds.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("pos", "h")).alias("at"))
-    with_text = at.join(packed, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "zipped", F.col("at.pos").alias("pos"), F.col("at.h").alias("h"))
-    around = staged(with_text.mapInArrow(_contexts(seed, span), "h long, doc_id long, text_hash long, pos int, before string, after string"), "contexts")
-    first = around.groupBy("h").agg(F.min_by(F.struct("doc_id", "before", "after"), F.struct("doc_id", "pos", "text_hash")).alias("first"))
-    pairs = salted_lookup(around, first, ["h"], "inner").select("doc_id", "text_hash", "pos", "before", "after", "first.doc_id", "first.before", "first.after")
-    pairs = pairs.toDF("doc_id", "text_hash", "pos", "before", "after", "first_doc", "first_before", "first_after")
-    extended = staged(pairs.mapInArrow(_extend(seed, span), "doc_id long, text_hash long, begin int, finish int, window binary"), "extended")
-    open_ = extended.where("window IS NOT NULL")
-    again = open_.groupBy("window").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc < last_doc").select("window", "first_doc")
-    rest = salted_lookup(open_, again, ["window"], "inner").where("first_doc < doc_id")
-    return extended.where("window IS NULL").select("doc_id", "text_hash", "begin", "finish").unionByName(rest.select("doc_id", "text_hash", "begin", "finish"))
+    both = salted_lookup(found, shared, ["h"], "left_semi", 4)
+    return both.groupBy("doc_id", tag_of(F.col("place")).alias("tag")).agg(F.collect_list(F.struct("place", "h")).alias("seeds"))
+
+
+def repeats(texts: DataFrame, seed: int = SEED, span: int = SPAN, pair_rows: int = 500) -> DataFrame:
+    """doc_id, tag and the word ranges (begin, finish) that repeat a passage of a smaller doc_id; ranges may overlap.
+
+    texts: doc_id, tag, zipped, seeds.
+    """
+    segments = staged(texts.where("seeds IS NOT NULL").select("doc_id", "tag", "zipped", "seeds").mapInArrow(_segments(span), "doc_id long, tag int, segment int, words binary, place array<long>, h array<long>"), "segments")
+    single = segments.select("doc_id", "tag", "segment", F.explode(F.arrays_zip("place", "h")).alias("s")).select("doc_id", "tag", "segment", "s.place", "s.h")
+    first = single.groupBy("h").agg(F.min(F.struct("doc_id", "place", "segment")).alias("first"))
+    met = salted_lookup(single, first, ["h"], "inner", 4)
+    pairs = met.groupBy("doc_id", "tag", "segment", F.col("first.doc_id").alias("first_doc"), tag_of(F.col("first.place")).alias("first_tag"), F.col("first.segment").alias("first_segment")).agg(F.collect_list(F.struct("place", F.col("first.place").alias("first"))).alias("pairs"))
+    pairs = staged(pairs, "segment_pairs")
+    # A segment that many meet is repeated, so that no task extends more than about pair_rows pairs against it.
+    spread = pairs.groupBy("first_doc", "first_tag", "first_segment").agg(F.ceil(F.count("*") / pair_rows).cast("int").alias("salts"))
+    key = ["first_doc", "first_tag", "first_segment"]
+    salted = pairs.join(spread, key).withColumn("salt", F.pmod(F.xxhash64("doc_id", "tag", "segment"), F.col("salts")).cast("int")).drop("salts")
+    text = segments.select("doc_id", "tag", "segment", F.col("words").alias("own"))
+    other = segments.select(F.col("doc_id").alias("first_doc"), F.col("tag").alias("first_tag"), F.col("segment").alias("first_segment"), F.col("words").alias("other"))
+    other = other.join(spread, key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    # Merge joins at every size: whether a side is broadcast would otherwise hang on the input.
+    ready = salted.join(text.hint("merge"), ["doc_id", "tag", "segment"]).join(other.hint("merge"), [*key, "salt"]).select("doc_id", "tag", "segment", "first_doc", "first_segment", "pairs", "own", "other")
+    extended = staged(ready.mapInArrow(_extend(seed, span), "doc_id long, tag int, begin int, finish int, window binary"), "extended")
+    open_ = extended.where("window IS NOT NULL").select("doc_id", "tag", "begin", "window")
+    again = open_.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("window", "low")
+    rest = salted_lookup(open_, again, ["window"], "inner", 4).where("low < doc_id").select("doc_id", "tag", "begin", (F.col("begin") + span).alias("finish"))
+    return extended.where("window IS NULL").select("doc_id", "tag", "begin", "finish").unionByName(rest)
 
 
 def _keep():
@@ -180,9 +220,13 @@ def _keep():
 
 def remove_repeats(docs: DataFrame, seed: int = SEED, span: int = SPAN) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text for every row of docs."""
-    packed = staged(_packed(docs), "texts")
-    ranges = repeats(docs, seed, span, packed).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("begin", "finish")).alias("r"))
-    both = packed.join(ranges, ["doc_id", "text_hash"], "left").select("doc_id", "zipped", F.col("r.begin").alias("begin"), F.col("r.finish").alias("finish"))
+    spark, n = docs.sparkSession, partitions(docs.sparkSession)
+    table = f"substring_texts_{uuid.uuid4().hex[:12]}"
+    joined = _packed(docs).join(shared_seeds(docs, seed, span).hint("merge"), ["doc_id", "tag"], "left")
+    joined.write.bucketBy(n, "doc_id", "tag").option("path", fresh_path(spark, table)).format("parquet").saveAsTable(table)
+    texts = spark.table(table)
+    ranges = repeats(texts, seed, span).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("begin", "finish")).alias("r"))
+    both = texts.select("doc_id", "tag", "zipped").join(ranges.hint("merge"), ["doc_id", "tag"], "left").select("doc_id", "zipped", F.col("r.begin").alias("begin"), F.col("r.finish").alias("finish"))
     return both.mapInArrow(_keep(), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
