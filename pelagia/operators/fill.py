@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pelagia.staging import checkpointed
+
 SQUARE = ["iy", "ix"]
 
 
@@ -87,27 +89,52 @@ def coastal_fill(cells: DataFrame, slice_keys: Sequence[str], method: str = "dis
     return both.withColumn("filled", mark).withColumn("value", F.when(F.col("filled"), F.col("fill")).otherwise(F.col("value"))).drop("fill")
 
 
-def pending_components(cells: DataFrame, slice_keys: Sequence[str], checkpoint=None) -> DataFrame:
+def _tile_components(group: pd.DataFrame) -> list[str]:
+    """For each cell of one tile the name of its 8-connected component: its first cell in row-major order."""
+    todo = set(zip(group["iy"].tolist(), group["ix"].tolist(), strict=True))
+    name: dict[tuple[int, int], str] = {}
+    for start in sorted(todo):
+        if start in name:
+            continue
+        name[start], stack = f"{start[0]:08d}:{start[1]:08d}", [start]
+        while stack:
+            y, x = stack.pop()
+            for c in ((y + a, x + b) for a in (-1, 0, 1) for b in (-1, 0, 1)):
+                if c in todo and c not in name:
+                    name[c] = name[start]
+                    stack.append(c)
+    return [name[c] for c in zip(group["iy"].tolist(), group["ix"].tolist(), strict=True)]
+
+
+def pending_components(cells: DataFrame, slice_keys: Sequence[str], checkpoint=None, tile: int = 64) -> DataFrame:
     """slice_keys, iy, ix, component of the wet cells without a value, by 8-neighbour connection.
 
-    Min-label propagation over pending cells only.  checkpoint (DataFrame -> DataFrame) cuts the lineage between rounds.
+    Tiles are labelled on their own first; then the smallest name spreads over the graph of tile components that touch, which
+    is small.  checkpoint (DataFrame -> DataFrame) cuts the lineage between rounds.
     """
-    spark = cells.sparkSession
-    keep = checkpoint or (lambda df: df.checkpoint())
-    key = [*slice_keys, *SQUARE]
-    here = F.format_string("%08d:%08d", "iy", "ix")
-    labels = keep(cells.where("wet AND value IS NULL").select(*key, here.alias("component")))
-    ring = F.broadcast(offsets(spark, 1, 1.0).select("dy", "dx"))
-    while True:
-        near = labels.crossJoin(ring).select(*slice_keys, (F.col("iy") + F.col("dy")).alias("iy"), (F.col("ix") + F.col("dx")).alias("ix"), F.col("component").alias("other"))
-        low = near.groupBy(*key).agg(F.min("other").alias("other"))
-        joined = labels.join(low, key, "left").select(*key, F.col("component").alias("old"), F.least("component", "other").alias("component"))
-        # Follow the label of the cell that names the component: chains halve in every round.
-        root = labels.select(*slice_keys, F.format_string("%08d:%08d", "iy", "ix").alias("component"), F.col("component").alias("jump"))
-        new = keep(joined.join(root, [*slice_keys, "component"], "left").select(*key, "old", F.least("component", "jump").alias("component")))
-        if new.where("old <> component").limit(1).count() == 0:
-            return new.select(*key, "component")
-        labels = new.select(*key, "component")
+    keep = checkpoint or checkpointed
+    key, kinds = [*slice_keys, *SQUARE], {f.name: f.dataType.simpleString() for f in cells.schema}
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in key), "component string"])
+    pending = cells.where("wet AND value IS NULL").select(*key)
+
+    def label(group: pd.DataFrame) -> pd.DataFrame:
+        return group[key].assign(component=_tile_components(group))
+
+    labels = keep(pending.groupBy(*slice_keys, F.floor(F.col("iy") / tile).alias("_v"), F.floor(F.col("ix") / tile).alias("_u")).applyInPandas(label, schema))
+    ring = F.broadcast(offsets(cells.sparkSession, 1, 1.0).select("dy", "dx"))
+    rim = labels.where(F.pmod("iy", F.lit(tile)).isin(0, tile - 1) | F.pmod("ix", F.lit(tile)).isin(0, tile - 1))
+    moved = rim.crossJoin(ring).select(*slice_keys, (F.col("iy") + F.col("dy")).alias("iy"), (F.col("ix") + F.col("dx")).alias("ix"), F.col("component").alias("other"))
+    touch = keep(moved.join(rim, key).where("component <> other").select(*slice_keys, "component", "other").distinct())
+    names = keep(labels.select(*slice_keys, "component").distinct().withColumn("root", F.col("component")))
+    while touch.limit(1).count():
+        near = touch.join(names.select(*slice_keys, F.col("component").alias("other"), F.col("root").alias("low")), [*slice_keys, "other"]).groupBy(*slice_keys, "component").agg(F.min("low").alias("low"))
+        step = names.join(near, [*slice_keys, "component"], "left").select(*slice_keys, "component", F.col("root").alias("old"), F.least("root", "low").alias("root"))
+        jump = names.select(*slice_keys, F.col("component").alias("root"), F.col("root").alias("jump"))
+        new = keep(step.join(jump, [*slice_keys, "root"], "left").select(*slice_keys, "component", "old", F.least("root", "jump").alias("root")))
+        names = new.select(*slice_keys, "component", "root")
+        if new.where("old <> root").limit(1).count() == 0:
+            break
+    return labels.join(names, [*slice_keys, "component"]).select(*key, F.col("root").alias("component"))
 
 
 def propagate(group: pd.DataFrame) -> pd.DataFrame:
@@ -135,13 +162,15 @@ def propagate(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["iy", "ix", "fill"])
 
 
-def force_complete(cells: DataFrame, slice_keys: Sequence[str], checkpoint=None) -> DataFrame:
+def force_complete(cells: DataFrame, slice_keys: Sequence[str], checkpoint=None, tile: int = 64) -> DataFrame:
     """Fill every wet cell that connects to a finite one, by propagation; `forced` marks them.
 
     A group is one component of pending cells with the finite cells that touch it, so no task holds a slice.
     """
     key = [*slice_keys, *SQUARE]
-    parts = pending_components(cells, slice_keys, checkpoint)
+    keep = checkpoint or checkpointed
+    cells = keep(cells)  # the labels, the halo and the result read it
+    parts = keep(pending_components(cells, slice_keys, checkpoint, tile))
     ring = F.broadcast(offsets(cells.sparkSession, 1, 1.0).select("dy", "dx"))
     edge = parts.crossJoin(ring).select(*slice_keys, (F.col("iy") + F.col("dy")).alias("iy"), (F.col("ix") + F.col("dx")).alias("ix"), "component").distinct()
     halo = cells.where("wet AND value IS NOT NULL").select(*key, "value").join(edge, key).withColumn("pending", F.lit(False))
@@ -167,25 +196,29 @@ def fill_fallback(cells: DataFrame, constant: float = 0.0) -> DataFrame:
     return cells.withColumn("fallback", mark).withColumn("value", F.when(F.col("fallback"), F.lit(constant)).otherwise(F.col("value")))
 
 
-def nearest_any_donor(cells: DataFrame, slice_keys: Sequence[str], steps: int = 8, limit: int = 1 << 14) -> DataFrame:
+def nearest_any_donor(cells: DataFrame, slice_keys: Sequence[str], steps: int = 8) -> DataFrame:
     """Wet cells that still have no value take the nearest finite cell's, wet or not, by (distance, iy, ix).
 
     A square of `steps` is searched and doubled for the cells whose best donor may lie outside; slices without any finite cell
     keep their gaps.  The pending side holds few rows: what all other fills have left.
     """
     spark, key = cells.sparkSession, [*slice_keys, *SQUARE]
+    cells = checkpointed(cells)  # each round reads it again
     pending, donors = cells.where("wet AND value IS NULL"), cells.where("value IS NOT NULL")
+    ends = cells.agg(F.max("iy") - F.min("iy"), F.max("ix") - F.min("ix")).first()
+    reach = max(ends[0] or 0, ends[1] or 0)
     found, r = None, steps
-    left = pending.join(donors.select(*slice_keys).distinct(), list(slice_keys), "left_semi") if slice_keys else pending
-    while r <= limit:
+    left = checkpointed(pending.join(donors.select(*slice_keys).distinct(), list(slice_keys), "left_semi"))
+    while True:
         near = _donors(left, donors, slice_keys, offsets(spark, r, 1.0))
         best = near.groupBy(*key).agg(F.min_by("donor", F.struct("d2", "_y", "_x")).alias("fill"), F.min("d2").alias("d2"))
-        sure = best.where(F.col("d2") <= r * r).drop("d2")  # a donor farther along an axis than r can't be nearer
+        # A donor farther along an axis than r can't be nearer than r; at the reach of the grid all have been seen.
+        sure = checkpointed((best if r >= reach else best.where(F.col("d2") <= r * r)).drop("d2"))
         found = sure if found is None else found.unionByName(sure)
-        left = left.join(sure, key, "left_anti")
-        if left.limit(1).count() == 0:
+        left = checkpointed(left.join(sure, key, "left_anti"))
+        if r >= reach or left.limit(1).count() == 0:
             break
-        r *= 2
+        r = min(2 * r, reach)
     both = cells.join(found, key, "left")
     return both.withColumn("nearest", F.col("wet") & F.col("value").isNull() & F.col("fill").isNotNull()).withColumn("value", F.coalesce("value", F.when(F.col("wet"), F.col("fill")))).drop("fill")
 

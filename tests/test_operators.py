@@ -74,7 +74,8 @@ def test_coastal_fill_distance_weighted(spark, sample, first_steps):
         fill.coastal_fill(field(spark, a, wet), ["iz"], "other")
 
 
-def test_force_complete_equals_one_queue(spark, sample):
+@pytest.mark.parametrize("tile", [4, 64])
+def test_force_complete_equals_one_queue(spark, sample, tile):
     a, wet = sample
     want, queue, queued = a.copy(), [], set()
     around = [(j, i) for j in (-1, 0, 1) for i in (-1, 0, 1) if i or j]
@@ -93,7 +94,7 @@ def test_force_complete_equals_one_queue(spark, sample):
             if inside(*c) and wet[c] and np.isnan(want[c]) and c not in queued:
                 queue.append(c)
                 queued.add(c)
-    got = fill.force_complete(field(spark, a, wet), ["iz"], checkpointed)
+    got = fill.force_complete(field(spark, a, wet), ["iz"], checkpointed, tile)
     np.testing.assert_allclose(array(got), want, rtol=1e-12)
 
 
