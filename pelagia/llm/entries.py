@@ -114,4 +114,14 @@ SELECT doc_id, size, source_size, target,
        (CASE WHEN source_size = 0 THEN 0
              ELSE size * (quota // source_size) + greatest(0, least(size, quota % source_size - before_it)) END)::BIGINT AS taken
 FROM r""",
+    "op8_substring": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50),
+win AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h FROM p),
+f AS (SELECT h, min(doc_id) AS first_doc FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, p + k.i AS pos FROM win JOIN f USING (h), range(50) k(i) WHERE first_doc < doc_id),
+a AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+m AS (SELECT a.doc_id, a.word, a.pos, gone.pos IS NOT NULL AS is_gone FROM a LEFT JOIN gone ON gone.doc_id = a.doc_id AND gone.pos = a.pos),
+r AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE is_gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT is_gone) AS kept FROM m GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r USING (doc_id)""",
 }
