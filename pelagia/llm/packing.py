@@ -16,7 +16,6 @@ Cases: a null or empty text is the end id alone; repeated rows are packed each o
 
 from __future__ import annotations
 
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -36,52 +35,57 @@ class CachedTokenizer:
     tokenizer's own path.  The caches hold at most max_chunks entries and start anew beyond that.
     """
 
-    def __init__(self, path: str, max_chunks: int = 1_500_000):
+    def __init__(self, path: str, max_chunks: int = 600_000):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
+        if self.full.get_vocab_size() > 1 << 16:
+            raise ValueError("ids are kept in 16 bits here")
         self.model = self.full.model
         self.max_chunks = max_chunks
         self._reset()
 
     def _reset(self) -> None:
         self.at: dict[str, int] = {}  # chunk -> number
-        self.cores: dict[str, tuple[int, ...]] = {}
-        self.size = 0
-        self.begin = np.zeros(1024, np.int64)
-        self.count = np.zeros(1024, np.int64)
-        self.flat = np.zeros(4096, np.uint32)
-        self.used = 0
-
-    def _letters(self, core: str) -> tuple[int, ...]:
-        got = self.cores.get(core)
-        if got is None:
-            got = self.cores[core] = tuple(t.id for t in self.model.tokenize(core))
-        return got
-
-    def _ids(self, chunk: str) -> tuple[int, ...]:
-        if chunk.isascii():
-            core = chunk.lower()
-            if core.isalpha():
-                return self._letters(core)
-            if core[-1] in ".," and core[:-1].isalpha():
-                return self._letters(core[:-1]) + self._letters(core[-1])
-        return tuple(self.full.encode(unicodedata.normalize("NFC", chunk), add_special_tokens=False).ids)
+        self.size = self.used = 0
+        self.begin, self.count = np.zeros(1024, np.int32), np.zeros(1024, np.int32)
+        self.flat = np.zeros(4096, np.uint16)
+
+    def _letters(self, core: str) -> np.ndarray:
+        """Ids of lower-case letters, which are a chunk of their own."""
+        n = self.at.get(core)
+        if n is None:
+            return self._put(core, [t.id for t in self.model.tokenize(core)])
+        return self.flat[self.begin[n] : self.begin[n] + self.count[n]]
+
+    def _put(self, chunk: str, ids) -> np.ndarray:
+        if self.size == len(self.begin):
+            self.begin, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.count))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        out = self.flat[self.used : self.used + len(ids)]
+        out[:] = ids
+        self.begin[self.size], self.count[self.size] = self.used, len(ids)
+        self.used += len(ids)
+        self.at[chunk] = self.size
+        self.size += 1
+        return out
 
     def _learn(self, chunks: list[str]) -> None:
         for chunk in chunks:
             if chunk in self.at:
                 continue
-            ids = self._ids(chunk)
-            if self.size == len(self.begin):
-                self.begin, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.count))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.begin[self.size], self.count[self.size] = self.used, len(ids)
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.at[chunk] = self.size
-            self.size += 1
+            if chunk.isascii():
+                core = chunk.lower()
+                if core.isalpha():
+                    ids = self._letters(core)
+                    if core != chunk:
+                        self._put(chunk, ids)
+                    continue
+                if core[-1] in ".," and core[:-1].isalpha():
+                    self._put(chunk, np.concatenate([self._letters(core[:-1]), self._letters(core[-1])]))
+                    continue
+            self._put(chunk, self.full.encode(chunk, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> np.ndarray:
         if self.size > self.max_chunks:
@@ -96,9 +100,9 @@ class CachedTokenizer:
         except KeyError:
             self._learn(chunks)
             at = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
-        count = self.count[at]
+        count = self.count[at].astype(np.int64)
         ends = np.cumsum(count)
-        return self.flat[np.repeat(self.begin[at] - ends + count, count) + np.arange(ends[-1])]
+        return self.flat[np.repeat(self.begin[at] - ends + count, count) + np.arange(ends[-1])].astype(np.uint32)
 
 
 _TOKENIZERS: dict[str, CachedTokenizer] = {}

@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +39,7 @@ class Settings:
     l2: float = 1.0
     epochs: int = 6
     shards: int = 1
-    max_rows: int = 12_000
+    max_rows: int = 6_000
 
 
 @dataclass(frozen=True)
@@ -100,6 +99,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sett
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["order", "doc_id"])
         data = [(np.unique(features(t, s.bits)), int(y)) for t, y in zip(group["text"], group["toxic"], strict=True)]
+        del group
         i, w, b = ftrl(data, s)
         pos = float(np.mean([y for _, y in data]))
         return pd.DataFrame({"index": np.append(i, [-1, -2]), "weight": np.append(w, [b, pos])})
@@ -118,14 +118,14 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sett
 
 
 def scorer(model: Model):
-    """Score of a text: a function over a pyarrow column of texts."""
+    """Scores of texts: a function over a series of them."""
     weights = np.zeros(1 << model.bits, np.float32)
     weights[model.index] = model.weight
 
-    def score(texts: pa.Array) -> np.ndarray:
+    def score(texts: pd.Series) -> np.ndarray:
         out = np.empty(len(texts))
         for k, t in enumerate(texts):
-            x = features(t.as_py(), model.bits)
+            x = features(t, model.bits)
             x = x[weights[x] != 0]
             out[k] = model.bias + float(weights[np.unique(x)].sum(dtype=np.float64))
         return 1 / (1 + np.exp(-np.clip(out, -35, 35)))
@@ -134,16 +134,14 @@ def scorer(model: Model):
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """docs (or the columns keep of it) with a score; texts are read where they lie."""
-    names = docs.columns if keep is None else keep
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    out = docs.select(*names, F.col("text").alias("_text"))
+    """docs (or the columns keep of it) with a score.  Only the texts go to Python, and only the scores come back."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = scorer(sent.value)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(score(b.column(b.num_columns - 1)), pa.float64())], [*names, "score"])
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of = scorer(sent.value)
+        for texts in batches:
+            yield pd.Series(of(texts))
 
-    schema = docs.select(*names).schema.add("score", "double")
-    return out.mapInArrow(run, schema)
+    names = docs.columns if keep is None else keep
+    return docs.select(*names, score(F.col("text")).alias("score"))
