@@ -23,8 +23,15 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 REJECT = 0.7
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Long texts go to Python a thousand rows at a time, which bounds what a worker holds."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity is under REJECT.  The model learns from the labels of two thirds of the documents."""
+    _small_batches(spark)
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
     return toxicity.scored(docs.select(*COLUMNS), model).where(F.col("score") < REJECT).select(*COLUMNS)
@@ -38,6 +45,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the smallest doc_id; rows without doc_id stay."""
+    _small_batches(spark)
     gone = near_dups.near_duplicate_classes(docs.select("doc_id", "text")).where("class_id <> doc_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
 
@@ -52,6 +60,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """A row for each piece of each sequence."""
     import public_tokenizers
 
+    _small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
