@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import staged
+from pelagia.llm.common import smallest_hashes, staged
 
 
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -132,7 +132,7 @@ class PostingLists:
         """Centroids from the sample_rows vectors with the smallest hashes; one list for each list_rows vectors, max_lists at most."""
         ok = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id IS NOT NULL AND embedding IS NOT NULL")
         n = ok.count()
-        sample = ok.withColumn("order", F.xxhash64(F.lit("ann"), "vec_id")).orderBy("order", "vec_id").limit(sample_rows)
+        sample = smallest_hashes(ok.withColumn("order", F.xxhash64(F.lit("ann"), "vec_id")), "order", n, sample_rows).orderBy("order", "vec_id").limit(sample_rows)
         rows = [r for r in sample.toPandas()["embedding"] if r is not None and len(r)]
         sizes = [len(r) for r in rows]
         if not rows:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import salted_lookup, staged
+from pelagia.llm.common import salted_lookup, smallest_hashes, staged
 
 BITS = 16
 #: Trigrams of one page hang together; beyond this many they count as if there were so many.
@@ -54,7 +54,7 @@ def fit(docs: DataFrame, max_rows: int = 20_000, max_languages: int = 200) -> tu
     if not names:
         return [], np.zeros((0, 1 << BITS))
     chosen = known.where(F.col("lang").isin(names)).select("lang", "text", F.xxhash64(F.lit("lang"), "doc_id").alias("order"), "doc_id")
-    ids = chosen.select("order", "doc_id").orderBy("order", "doc_id").limit(max_rows).distinct()
+    ids = smallest_hashes(chosen.select("order", "doc_id"), "order", docs.count(), max_rows).orderBy("order", "doc_id").limit(max_rows).distinct()
     rows = chosen.join(F.broadcast(ids), ["order", "doc_id"], "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
