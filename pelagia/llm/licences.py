@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import mix64, word_hashes
+from pelagia.llm.common import mix64, smallest_hashes, word_hashes
 
 BITS = 15
 
@@ -103,6 +103,7 @@ def _softmax(s: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, max_paragraphs: int = 4000, epochs: int = 12, seed: int = 11) -> Scanner:
     rng = np.random.default_rng(seed)
     lines = docs.where("text IS NOT NULL").select(F.xxhash64(F.lit("licence"), "doc_id", "text").alias("order"), "doc_id", F.split("text", "\n", -1).alias("l"))
+    lines = smallest_hashes(lines, "order", docs.count(), max_paragraphs)
     picked = lines.select("order", "doc_id", F.element_at("l", (F.pmod("order", F.size("l").cast("long")) + 1).cast("int")).alias("line")).orderBy("order", "doc_id").limit(max_paragraphs).collect()
     corpus = [_words((r["line"] or "").encode("utf-8", "surrogatepass")) for r in picked]
     known = [_pairs(_words(t.encode())) for ts in TEMPLATES.values() for t in ts]
