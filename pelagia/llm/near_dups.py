@@ -217,12 +217,13 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, unit_r
     pairs = salted_lookup(inside.select("key", "node"), heads, ["key"], "inner").where("node <> head").select(F.least("node", "head").alias("x"), F.greatest("node", "head").alias("y"), F.col("node").alias("a"), F.col("head").alias("b")).dropDuplicates(["x", "y"]).select("a", "b")
     pairs = staged(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    runs = staged(_with_runs(_zipped(docs).join(wanted, "node", "left_semi")).dropDuplicates(["node"]), "runs")
+    runs = staged(_with_runs(_zipped(docs).join(wanted.hint("merge"), "node", "left_semi")).dropDuplicates(["node"]), "runs")
     # A head that many nodes meet is repeated, so that no task aligns more than about unit_rows nodes with it.
+    # These joins keep one form at every size: whether a side is broadcast would otherwise hang on the input.
     spread = pairs.groupBy("b").agg(F.ceil(F.count("*") / unit_rows).cast("int").alias("salts"))
-    left = pairs.join(spread, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")).join(runs.select(F.col("node").alias("a"), F.col("runs").alias("runs_a")), "a")
+    left = salted_lookup(pairs, spread, ["b"], "inner").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")).join(runs.select(F.col("node").alias("a"), F.col("runs").alias("runs_a")).hint("merge"), "a")
     right = runs.select(F.col("node").alias("b"), F.col("runs").alias("runs_b")).join(spread, "b").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    links = staged(_verified(left.join(right, ["b", "salt"]), threshold), "links")
+    links = staged(_verified(left.join(right.hint("merge"), ["b", "salt"]), threshold), "links")
     label = components(links)
     # Buckets that are still in several components, and hold pairs that no alignment has tried.
     known = inside.where("n > 2").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -230,7 +231,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, unit_r
     open_ = salted_lookup(known, split, ["key"], "inner").withColumn("blocks", F.ceil(F.col("n") / unit_rows).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0)))).alias("other")
     units = open_.select("key", "node", "label", "block", other).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    more = units.join(runs, "node").groupBy("key", "low", "high").applyInPandas(_across(threshold), "a long, b long")
+    more = units.join(runs.hint("merge"), "node").groupBy("key", "low", "high").applyInPandas(_across(threshold), "a long, b long")
     label = components(staged(links.unionByName(more), "all_links"))
     classes = nodes.join(label, "node", "left").select("same", F.coalesce("label", "node").alias("class_id"))
     out = salted_lookup(texts.select("doc_id", "same"), classes, ["same"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
