@@ -3,12 +3,14 @@
 fit() chooses centroids by balanced k-means over a bounded sample (at most `sample_rows` vectors); every vector then joins the
 list of its nearest centroid and, when it lies near a boundary, the lists of further centroids whose distance is within
 `boundary` times the nearest (at most `replicas` lists).  The centroids are searched by a graph in memory: each is linked to its
-nearest others, and a best-first walk visits a few of them for each vector.  A query reads the lists whose centroids are within
-`prune` times the distance of its nearest one, and goes on through the list of centroids until the lists it has hold enough rows.
+nearest others, and a best-first walk visits a few of them for each vector.  A query reads all lists whose centroids are within
+`prune` times the distance of its nearest one (where the walk ends before that bound, all centroids are compared), at least
+`least_lists`, and goes on through the list of centroids until the lists it has hold enough rows.  No number of lists ends this: where
+distances hardly differ, as for isotropic vectors, the bound admits nearly all lists, and the search is nearly a full scan.
 
 The centroids, with their links and list sizes, are what is broadcast: at most `max_lists` of them, whatever the input.  A list
-of any size is dealt over blocks of at most about `block_rows` rows (a hot vector's list too), and each block answers the
-queries that read it in chunks; only the k best of each block go on.  All vectors are indexed; the ranking uses the original
+of any size is dealt over blocks of at most about `block_rows` rows (a hot vector's list too), small lists share a block, and each
+block answers the queries that read its lists in chunks; only the k best of each block go on.  All vectors are indexed; the ranking uses the original
 components in double precision.
 
 Cases: vectors that are null, zero, of another length than the sample's most common one, or hold null or non-finite components
@@ -123,7 +125,6 @@ class PostingLists:
     replicas: int = 4
     prune: float = 1.35
     least_lists: int = 24
-    most_lists: int = 64
     block_rows: int = 4000
     query_rows: int = 1000
 
@@ -168,30 +169,41 @@ class PostingLists:
         return usable(vectors, self.dim).mapInArrow(run, "vec_id long, embedding array<double>, list int, is_primary boolean")
 
     def probes(self, queries: DataFrame, held: dict[int, int], k: int) -> DataFrame:
-        """query_id, embedding, list: the lists that each query reads.  held: rows of which each list is the nearest one."""
+        """query_id, embedding, lists: the lists that each query reads.  held: rows of which each list is the nearest one."""
         spark = queries.sparkSession
         sent = spark.sparkContext.broadcast((self.graph, np.array([held.get(i, 0) for i in range(len(self.graph.points))])))
-        prune, least, most = self.prune, self.least_lists, self.most_lists
+        prune, least = self.prune, self.least_lists
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             graph, rows = sent.value
             for b in batches:
                 if not b.num_rows:
                     continue
-                at, lists = [], []
-                for i, v in enumerate(_matrix(b.column(1))):
-                    c, d = graph.search(v, 2 * most)
-                    n = len(c)
-                    near = int(np.searchsorted(d, prune * d[0], side="right"))
-                    keep = min(n, max(least, min(near, most)))
-                    if rows[c[:keep]].sum() <= k:  # few rows near by: go on until there are enough, through all lists if need be
-                        c = np.argsort(_squares(v[None], graph.points)[0], kind="stable")
-                        keep = int(np.searchsorted(np.cumsum(rows[c]), k + 1)) + 1
-                    at += [i] * len(c[:keep])
-                    lists += c[:keep].tolist()
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(lists, pa.int32())], ["query_id", "embedding", "list"])
-
-        return queries.mapInArrow(run, "query_id long, embedding array<double>, list int")
+                lists = []
+                for v in _matrix(b.column(1)):
+                    c, d = graph.search(v, 4 * least)
+                    keep = max(least, int(np.searchsorted(d, prune * d[0], side="right")))
+                    if keep >= len(c) or rows[c[:keep]].sum() <= k:  # the walk ends before the bound, or few rows near by: all centroids in order
+                        d = np.sqrt(_squares(v[None], graph.points)[0])
+                        c = np.argsort(d, kind="stable")
+                        enough = int(np.searchsorted(np.cumsum(rows[c]), k + 1)) + 1
+                        keep = max(least, int((d <= prune * d.min()).sum()), enough)
+                    lists.append(c[:keep])
+                ends = np.cumsum([0] + [len(c) for c in lists])
+                kept = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists), pa.int32()))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), kept], ["query_id", "embedding", "lists"])
+
+        return queries.mapInArrow(run, "query_id long, embedding array<double>, lists array<int>")
+
+    def units(self, rows: dict[int, int]) -> np.ndarray:
+        """The unit of each list: lists that share a block, as long as they hold block_rows rows at most; a longer list is alone."""
+        out, unit, held = np.zeros(len(self.graph.points), np.int32), 0, 0
+        for i in range(len(out)):
+            n = rows.get(i, 0)
+            if held and held + n > self.block_rows:
+                unit, held = unit + 1, 0
+            out[i], held = unit, held + n
+        return out
 
     def search(self, vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
         """query_id, rank, vec_id, score (Euclidean distance): the k nearest found of each row that is_query admits."""
@@ -202,37 +214,56 @@ class PostingLists:
         sizes = lists.groupBy("list").agg(F.count("*").alias("rows"), F.sum(F.col("is_primary").cast("int")).alias("own")).collect()  # at most max_lists rows
         queries = usable(vectors.where(is_query), self.dim).withColumnRenamed("vec_id", "query_id")
         probes = staged(self.probes(queries, {r["list"]: r["own"] for r in sizes}, k), "probes")
-        asked = {r["list"]: r["n"] for r in probes.groupBy("list").agg(F.count("*").alias("n")).collect()}
-        blocks = spark.createDataFrame([(r["list"], -(-r["rows"] // self.block_rows), -(-asked.get(r["list"], 0) // self.query_rows)) for r in sizes], "list int, blocks int, chunks int")
-        blocks = F.broadcast(blocks.where("chunks > 0"))  # at most max_lists rows
-        rows = lists.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        rows = rows.select("list", "block", "chunk", "vec_id", "embedding")
-        asks = probes.join(blocks, "list").withColumn("chunk", F.pmod(F.xxhash64(F.lit(5), "query_id"), F.col("chunks")).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        asks = asks.select("list", "block", "chunk", "query_id", "embedding")
+        unit_of = self.units({r["list"]: r["rows"] for r in sizes})
+        sent = spark.sparkContext.broadcast(unit_of)
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i, lists in enumerate(b.column(2)):
+                    by = pd.Series(lists.values.to_numpy()).groupby(sent.value[lists.values.to_numpy()]).agg(list)
+                    n = pa.array(np.full(len(by), i))
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(n), b.column(1).take(n), pa.array(by.index.to_numpy(), pa.int32()), pa.array(by.tolist(), pa.list_(pa.int32()))], ["query_id", "embedding", "unit", "lists"])
+
+        asks = probes.mapInArrow(spread, "query_id long, embedding array<double>, unit int, lists array<int>")
+        asked = {r["unit"]: r["n"] for r in asks.groupBy("unit").agg(F.count("*").alias("n")).collect()}  # at most max_lists rows
+        held = np.bincount(unit_of[[r["list"] for r in sizes]], [r["rows"] for r in sizes], unit_of.max() + 1).astype(int).tolist() if sizes else []
+        blocks = spark.createDataFrame([(u, -(-n // self.block_rows), -(-asked.get(u, 0) // self.query_rows)) for u, n in enumerate(held)], "unit int, blocks int, chunks int")
+        blocks = F.broadcast(blocks.where("blocks > 0 AND chunks > 0"))  # at most max_lists rows
+        names = F.broadcast(spark.createDataFrame(list(enumerate(unit_of.tolist())), "list int, unit int"))
+        rows = lists.join(names, "list").join(blocks, "unit").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        rows = rows.select("unit", "block", "chunk", "list", "vec_id", "embedding")
+        asks = asks.join(blocks, "unit").withColumn("chunk", F.pmod(F.xxhash64(F.lit(5), "query_id"), F.col("chunks")).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        asks = asks.select("unit", "block", "chunk", "query_id", "embedding", "lists")
 
         def nearest(a: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
             if a.empty or q.empty:
                 return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-            x, ids = np.stack(a["embedding"].to_numpy()), a["vec_id"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            x, ids = x[order], ids[order]
-            out = []
-            for query, v in zip(q["query_id"], q["embedding"], strict=True):
-                diff = x - v
-                d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-                keep = ids != query
-                d = np.where(keep, d, np.inf)
-                if len(d) > k + 1:
-                    cut = np.partition(d, k)[k]
-                    near = np.flatnonzero(d <= cut)
-                else:
-                    near = np.arange(len(d))
-                near = near[np.argsort(d[near], kind="stable")][: k + 1]  # ids ascend, so ties keep their order
-                near = near[keep[near]][:k]
-                out.append((np.full(len(near), query), ids[near], d[near]))
+            ids, first, number = np.unique(a["vec_id"].to_numpy(), return_index=True, return_inverse=True)  # a vector may be in several of the lists
+            x = np.stack(a["embedding"].to_numpy()[first])
+            names, place = np.unique(a["list"].to_numpy(), return_inverse=True)
+            holds = np.zeros((len(names), len(ids)), np.float32)
+            holds[place, number] = 1
+            squares, out = (x * x).sum(1), []
+            for at in range(0, len(q), 200):
+                part = q.iloc[at : at + 200]
+                y = np.stack(part["embedding"].to_numpy())
+                reads = np.array([np.isin(names, lists) for lists in part["lists"]], np.float32)
+                near_by = (reads @ holds > 0) & (ids[None] != part["query_id"].to_numpy()[:, None])
+                whole = (y * y).sum(1)
+                about = squares + whole[:, None] - 2 * y @ x.T  # rough: decides only which rows are measured
+                slack = 1e-9 * (squares.max() + whole)
+                for query, v, mine, rough, tol in zip(part["query_id"], y, near_by, about, slack, strict=True):
+                    near = np.flatnonzero(mine)
+                    if len(near) > k and np.isfinite(rough).all():
+                        rough = rough[near]
+                        near = near[rough <= np.partition(rough, k - 1)[k - 1] + tol]
+                    diff = x[near] - v
+                    d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+                    best = np.argsort(d, kind="stable")[:k]  # ids ascend, so ties keep their order
+                    out.append((np.full(len(best), query), ids[near[best]], d[best]))
             return pd.DataFrame({n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("query_id", "vec_id", "score"))})
 
-        found = rows.groupBy("list", "block", "chunk").cogroup(asks.groupBy("list", "block", "chunk")).applyInPandas(nearest, "query_id long, vec_id long, score double")
-        once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # a vector may be in several of the lists
+        found = rows.groupBy("unit", "block", "chunk").cogroup(asks.groupBy("unit", "block", "chunk")).applyInPandas(nearest, "query_id long, vec_id long, score double")
+        once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # a vector may be in several blocks
         rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
         return once.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

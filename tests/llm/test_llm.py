@@ -383,6 +383,21 @@ def test_nearest_neighbours(spark):
     assert hits >= 0.95 * 10 * len(by)
 
 
+def test_probes_grow_with_the_lists(spark):
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(6000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    lists = ann.PostingLists.fit(table, list_rows=10)  # 600 lists, where only a scan of nearly all finds the neighbours
+    assert len(lists.graph.points) > 500
+    by = collections.defaultdict(set)
+    for r in lists.search(table, F.col("vec_id") % 100 == 0, 10).collect():
+        by[r.query_id].add(r.vec_id)
+    d = ((x[::100, None].astype(np.float64) - x[None]) ** 2).sum(2)
+    d[np.arange(60), np.arange(0, 6000, 100)] = np.inf
+    assert sum(len(by[i * 100] & set(np.argsort(row)[:10].tolist())) for i, row in enumerate(d)) >= 0.9 * 600
+
+
 def test_nearest_neighbours_of_few(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(100, [1.0, 0.0]), (7, [0.0, 1.0]), (8, [1.0, 1.0])], schema)
