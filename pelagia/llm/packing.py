@@ -26,6 +26,9 @@ from pyspark.sql import DataFrame
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 WINDOW, END_ID = 2048, 1
+#: What sends a text down the tokenizer's own path: special tokens, which may hold no blanks but cross the rules of chunks, and the
+#: control characters that str.split() takes for blanks and the tokenizer doesn't.
+_WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 
 
 class CachedTokenizer:
@@ -90,7 +93,7 @@ class CachedTokenizer:
     def encode(self, text: str) -> np.ndarray:
         if self.size > self.max_chunks:
             self._reset()
-        if "<|" in text:  # special tokens may hold no blanks but cross the rules above
+        if any(x in text for x in _WHOLE):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
         chunks = text.split()
         if not chunks:

@@ -144,6 +144,20 @@ def test_packing_round_trip(spark):
     assert packing.pack(docs_of(spark, []), path).collect() == []
 
 
+def test_packing_keeps_control_characters(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    full = Tokenizer.from_file(path)
+    blanks = [chr(c) for c in (*range(1, 33), 0x7F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)]
+    texts = ["\x1c\x1d", *(f"ab{c}cd {c}{c}, Ef{c}" for c in blanks)]
+    ids = {d: np.array(full.encode(t, add_special_tokens=False).ids + [1], "<u4") for d, t in enumerate(texts)}
+    for r in packing.pack(docs_of(spark, list(enumerate(texts))), path).collect():
+        own = ids[r.doc_id]
+        assert r.doc_tokens == len(own) and zlib.crc32(own[r.start : r.start + r.length].tobytes()) == r.ids_crc32, texts[r.doc_id]
+
+
 def test_sum_of_squares_places_like_the_definition():
     rng = np.random.default_rng(4)
     fast = packing.SumOfSquares(16)
