@@ -6,8 +6,9 @@ is counted over all pages (grouped sums of the text posteriors).  A host's prior
 towards the whole table's, each by `strength` pseudo-pages; a page's own share is taken out of every count it meets, so it is
 never evidence for itself.
 
-The n-gram model is fitted on at most max_rows labelled documents (a documented bound), chosen by hash; all counts over pages
-cover every page.  The model is a table of languages x 2^BITS, the only thing broadcast; at most max_languages are learned.
+The n-gram model is fitted on at most max_rows labelled documents (a documented bound), chosen by hash within each language:
+rare languages give all they have and the others share the rest evenly.  All counts over pages cover every page.  The model is a
+table of languages x 2^BITS, the only thing broadcast; more than max_languages are an error.
 
 Cases: null or empty markup leaves the text likelihood flat; a null or odd address has the host "" and suffix ""; rows that repeat
 a page_id are pages of their own; without labelled documents the language is null.
@@ -21,9 +22,10 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import salted_lookup, smallest_hashes, staged
+from pelagia.llm.common import salted_lookup, staged
 
 BITS = 16
 #: Trigrams of one page hang together; beyond this many they count as if there were so many.
@@ -47,15 +49,32 @@ def grams(text: str) -> np.ndarray:
     return (h >> np.uint32(32 - BITS)).astype(np.int64)
 
 
+def quotas(sizes: dict[str, int], rows: int) -> dict[str, int]:
+    """How many of each language's documents are taken: an even share, where what the smaller ones lack goes to the larger ones."""
+    out = {}
+    for i, (name, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        out[name] = min(n, max(1, rows // (len(sizes) - i)))
+        rows -= out[name]
+    return out
+
+
 def fit(docs: DataFrame, max_rows: int = 20_000, max_languages: int = 200) -> tuple[list[str], np.ndarray]:
     """Languages and the log probability of every gram under each."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    names = sorted(r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect())
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(max_languages + 1).collect()}
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} languages: raise max_languages, the model takes 2^{BITS} numbers for each")
+    names = sorted(sizes)
     if not names:
         return [], np.zeros((0, 1 << BITS))
-    chosen = known.where(F.col("lang").isin(names)).select("lang", "text", F.xxhash64(F.lit("lang"), "doc_id").alias("order"), "doc_id")
-    ids = smallest_hashes(chosen.select("order", "doc_id"), "order", docs.count(), max_rows).orderBy("order", "doc_id").limit(max_rows).distinct()
-    rows = chosen.join(F.broadcast(ids), ["order", "doc_id"], "left_semi").select("lang", "text")
+    chosen = known.select("lang", "text", F.xxhash64(F.lit("lang"), "doc_id", "text").alias("order"))
+    taken = quotas(sizes, max_rows)
+    # A cut on the hash comes first, so that no task passes on more than its share.
+    cut = {n: min(2**63 - 1, int(-(2**63) + min(1.0, 1.25 * taken[n] / sizes[n]) * 2**64)) for n in names}
+    limits = F.broadcast(docs.sparkSession.createDataFrame([(n, taken[n], cut[n]) for n in names], "lang string, quota long, cut long"))
+    near = chosen.select("lang", "order").join(limits, "lang").where("order <= cut")
+    ids = near.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("order"))).where("rank <= quota").select("lang", "order").distinct()
+    rows = chosen.join(F.broadcast(ids), ["lang", "order"], "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(names), 1 << BITS), np.int64)

@@ -440,6 +440,18 @@ def test_language_evidence(spark):
     assert langid.identify(pages.where("false"), docs).collect() == []
 
 
+def test_language_sample_is_of_labelled_rows_and_each_language(spark):
+    rows = [(i, f"w{i}", None) for i in range(3000)] + [(5000 + i, f"common{i}", "xx") for i in range(60)] + [(9000, "seldom", "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, model = langid.fit(docs, max_rows=41)
+    assert names == ["xx", "yy"]
+    assert (model[1] > model[1].min()).sum() == len(set(langid.grams("seldom").tolist()))
+    n = round(sum(np.exp(model[0] - model[0].min(), dtype=np.float64) - 1) / 2)  # grams counted
+    assert 36 * 7 < n <= 40 * 8  # common and a number: 7 or 8 trigrams a document
+    with pytest.raises(ValueError):
+        langid.fit(docs, max_languages=1)
+
+
 def test_licences(spark):
     rng = np.random.default_rng(13)
     rows = [(i, words(rng, 40) + "\n" + words(rng, 30)) for i in range(60)]
