@@ -1,11 +1,12 @@
 """Licence scans: a trained paragraph classifier whose predictions templates confirm.
 
-Paragraphs (lines) are classified by multinomial logistic regression over hashed word 1-, 2- and 3-grams into licence families,
+Paragraphs (lines up to a line without words) are classified in overlapping windows of words (WINDOWS), and line by line, by multinomial logistic regression over hashed word 1-, 2- and 3-grams into licence families,
 "other licence" and "no licence".  It is trained here on variants of the templates below (words dropped, corpus words around
 them), on made-up licence notices for "other licence", and on at most `max_paragraphs` paragraphs of the corpus (a documented
 bound) for "no licence"; a temperature fitted on a held-out fifth calibrates the probabilities.  A family is reported only when its
-template confirms it: at least `contained` of the word pairs of one of its templates occur in the paragraph.  A paragraph that is
-likely a licence but is not confirmed is reported as unknown.
+template confirms it: at least `contained` of the word pairs of one of its templates occur in the window.  A paragraph with a window
+that is likely a licence, but with none that is confirmed, is reported as unknown.  A window is scored unless an upper bound on all
+licences' scores over all its n-grams shows that it can't be likely.
 
 The weights (2^BITS x classes) are the only thing broadcast.
 
@@ -53,6 +54,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",),
 }
 OTHER, NONE = "other", "none"
+#: (words, step) of the windows: any run of up to words - step words lies whole in one; the longest template has under 48.
+WINDOWS = ((16, 4), (32, 8), (64, 16))
 #: Shapes of notices of licences that are none of the families; fixed values.
 NOTICES = ("Licensed under the {} License.", "Released under the {} License, version {}.", "This work is licensed under the {} terms.", "Distributed under the {} Public License.", "All rights reserved under the {} licence.", "You may use this work under the terms of the {} License.")
 
@@ -89,7 +92,7 @@ class Scanner:
     classes: list[str]
 
     def probabilities(self, words: list[bytes]) -> np.ndarray:
-        x = np.unique(_grams(word_hashes(words))[0])
+        x = _grams(word_hashes(words))[0]
         s = (self.weights[x].sum(0) / np.sqrt(max(len(x), 1)) + self.bias) / self.temperature
         e = np.exp(s - s.max())
         return e / e.sum()
@@ -103,7 +106,7 @@ def _softmax(s: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, max_paragraphs: int = 4000, epochs: int = 12, seed: int = 11) -> Scanner:
     rng = np.random.default_rng(seed)
     lines = docs.where("text IS NOT NULL").select(F.xxhash64(F.lit("licence"), "doc_id", "text").alias("order"), "doc_id", F.split("text", "\n", -1).alias("l"))
-    lines = smallest_hashes(lines, "order", docs.count(), max_paragraphs)
+    lines = smallest_hashes(lines, "order", docs.where("text IS NOT NULL").count(), max_paragraphs)
     picked = lines.select("order", "doc_id", F.element_at("l", (F.pmod("order", F.size("l").cast("long")) + 1).cast("int")).alias("line")).orderBy("order", "doc_id").limit(max_paragraphs).collect()
     corpus = [_words((r["line"] or "").encode("utf-8", "surrogatepass")) for r in picked]
     known = [_pairs(_words(t.encode())) for ts in TEMPLATES.values() for t in ts]
@@ -111,7 +114,13 @@ def train(docs: DataFrame, max_paragraphs: int = 4000, epochs: int = 12, seed: i
     pool = [w for p in plain for w in p] or [b"the"]
     classes = [*TEMPLATES, OTHER, NONE]
     again = -(-1500 // len(plain)) if plain else 0  # a small corpus counts as much as the templates' variants
-    rows: list[tuple[list[bytes], int]] = [(w, len(classes) - 1) for w in plain for _ in range(again)]
+
+    def window(words: list[bytes]) -> list[bytes]:
+        size = WINDOWS[int(rng.integers(0, len(WINDOWS)))][0]
+        at = int(rng.integers(0, max(len(words) - size, 0) + 1))
+        return words[at : at + size]
+
+    rows: list[tuple[list[bytes], int]] = [(window(w), len(classes) - 1) for w in plain for _ in range(again)]
 
     def varied(words: list[bytes]) -> list[bytes]:
         kept = [w for w in words if rng.random() > 0.06] or words
@@ -127,7 +136,7 @@ def train(docs: DataFrame, max_paragraphs: int = 4000, epochs: int = 12, seed: i
             name = b" ".join(pool[i] for i in rng.integers(0, len(pool), 2)).decode("utf-8", "replace")
             rows.append((varied(_words(shape.format(name, rng.integers(1, 9)).encode())), len(classes) - 2))
     order = rng.permutation(len(rows))
-    x = [np.unique(_grams(word_hashes(rows[i][0]))[0]) for i in order]
+    x = [_grams(word_hashes(rows[i][0]))[0] for i in order]  # with repeats, so that a window's score is a sum over its n-grams
     y = np.array([rows[i][1] for i in order])
     weights, bias, seen = np.zeros((1 << BITS, len(classes))), np.zeros(len(classes)), np.full((1 << BITS, 1), 1e-6)
     cut = len(x) * 4 // 5
@@ -146,6 +155,32 @@ def train(docs: DataFrame, max_paragraphs: int = 4000, epochs: int = 12, seed: i
     return Scanner(weights.astype(np.float32), bias, min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0), key=loss), classes)
 
 
+def _windows(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end and paragraph of each window over paragraphs of these sizes, laid end to end."""
+    first = np.cumsum(size) - size
+    out = []
+    for n, (words, step) in enumerate(WINDOWS):
+        # The longer windows of a paragraph that one of the shorter ones holds would be the same again.
+        pieces = np.where(size > 0, 1 + -(-np.maximum(size - words, 0) // step), 0) if n == 0 else np.where(size > WINDOWS[n - 1][0], 1 + -(-np.maximum(size - words, 0) // step), 0)
+        of = np.repeat(np.arange(len(size)), pieces)
+        at = first[of] + step * (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        out.append((at, np.minimum(at + words, (first + size)[of]), of))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _bounds(margin: np.ndarray, h: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For each window, sum of margin over its 1-, 2- and 3-grams divided by the root of their number: no licence's lead is larger."""
+    ids, _ = _grams(h)
+    n, total, count = len(h), np.zeros(len(at)), np.zeros(len(at), np.int64)
+    for k, begin in ((1, 0), (2, n), (3, 2 * n - 1)):
+        sums = np.concatenate([[0.0], np.cumsum(margin[ids[begin : begin + max(n - k + 1, 0)]], dtype=np.float64)])
+        many = np.maximum(end - at - k + 1, 0)
+        low = np.minimum(at, len(sums) - 1)
+        total += sums[np.minimum(low + many, len(sums) - 1)] - sums[low]
+        count += many
+    return total / np.sqrt(np.maximum(count, 1))
+
+
 def scan(docs: DataFrame, scanner: Scanner, likely: float = 0.7, contained: float = 0.8) -> DataFrame:
     """doc_id, n_paragraphs, licences (confirmed families, sorted), n_confirmed, n_unknown, best (highest probability of a confirmed family)."""
     sent = docs.sparkSession.sparkContext.broadcast(scanner)
@@ -154,30 +189,40 @@ def scan(docs: DataFrame, scanner: Scanner, likely: float = 0.7, contained: floa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s: Scanner = sent.value
         none = len(s.classes) - 1
-        margin = (s.weights - s.weights[:, none:]).max(1)  # how far a gram can speak for any licence
+        margin = np.delete(s.weights - s.weights[:, none:], none, axis=1).max(1)  # how far a gram can speak for any licence
+        lead = (s.bias[:none] - s.bias[none]).max()
+        # p[none] <= 1 - likely needs the other classes' exp(score - none's score) to sum to likely / (1 - likely).
+        least = np.log(likely / (1 - likely) / none) * s.temperature - 1e-3
         for b in batches:
             out = []
             for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 lines = (t.as_py() or "").encode("utf-8", "surrogatepass").translate(_CLEAN).split(b"\n")
                 found, confirmed, unknown, best = set(), 0, 0, 0.0
                 split = [[w for w in (x.strip(b".-") for x in line.split()) if w] for line in lines]
-                size = np.array([len(w) for w in split])
-                flat = word_hashes([w for words in split for w in words])
-                # Only paragraphs with a word that speaks for a licence can be one: all others are scored as none at once.
-                speak = np.bincount(np.repeat(np.arange(len(split)), size), margin[(flat >> np.uint64(64 - BITS)).astype(np.int64)] > 0.5, len(split)) > 0 if len(flat) else np.zeros(len(split), bool)
-                for i in np.flatnonzero(speak):
-                    p = s.probabilities(split[i])
-                    if p[none] > 1 - likely:
-                        continue
-                    pairs = _pairs(split[i])
-                    ok = [(p[c], name) for c, name in enumerate(s.classes[:-2]) if p[c] >= likely / 2 and any(len(x & pairs) >= contained * len(x) for x in templates[name])]
-                    if ok:
-                        confirmed += 1
-                        found.add(max(ok)[1])
-                        best = max(best, float(max(ok)[0]))
-                    else:
-                        unknown += 1
-                out.append((d, len(lines), sorted(found), confirmed, unknown, best))
+                words = [w for line in split for w in line]
+                by_line = np.array([len(w) for w in split])
+                starts = (by_line > 0) & (np.concatenate([[0], by_line[:-1]]) == 0)
+                size = np.bincount(np.cumsum(starts), by_line, int(starts.sum()) + 1).astype(np.int64)[1:]
+                if words:
+                    at, end, of = _windows(size)
+                    alone = np.flatnonzero((by_line > 0) & (by_line <= WINDOWS[-1][0]))  # a short notice on a line of its own
+                    at, end, of = (np.concatenate(x) for x in zip((at, end, of), ((np.cumsum(by_line) - by_line)[alone], np.cumsum(by_line)[alone], np.cumsum(starts)[alone] - 1), strict=True))
+                    speak = np.flatnonzero(_bounds(margin, word_hashes(words), at, end) + lead >= least)
+                    sure, likely_ones = set(), set()
+                    for i in speak:
+                        part = words[at[i] : end[i]]
+                        p = s.probabilities(part)
+                        if p[none] > 1 - likely:
+                            continue
+                        likely_ones.add(of[i])
+                        pairs = _pairs(part)
+                        ok = [(p[c], name) for c, name in enumerate(s.classes[:-2]) if p[c] >= likely / 2 and any(len(x & pairs) >= contained * len(x) for x in templates[name])]
+                        if ok:
+                            sure.add(of[i])
+                            found.add(max(ok)[1])
+                            best = max(best, float(max(ok)[0]))
+                    confirmed, unknown = len(sure), len(likely_ones - sure)
+                out.append((d, max(len(size), 1), sorted(found), confirmed, unknown, best))
             if out:
                 kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_paragraphs", "licences", "n_confirmed", "n_unknown", "best"])

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import json
+import textwrap
 import zlib
 from fractions import Fraction
 
@@ -463,6 +464,19 @@ def test_licences(spark):
     assert not any(got[i].licences or got[i].n_unknown for i in range(60))
 
 
+def test_licences_in_wrapped_and_long_paragraphs(spark):
+    rng = np.random.default_rng(16)
+    rows = [(i, words(rng, 40) + "\n\n" + words(rng, 300)) for i in range(60)]
+    mit, lgpl = licences.TEMPLATES["mit"][1], licences.TEMPLATES["lgpl"][0]
+    rows += [(100, words(rng, 30) + "\n\n" + textwrap.fill(mit, 70) + "\n\n" + words(rng, 20)), (101, textwrap.fill(lgpl, 40)), (102, f"{words(rng, 10000)} {mit} {words(rng, 10000)}")]
+    docs = docs_of(spark, rows)
+    got = {r.doc_id: r for r in licences.scan(docs, licences.train(docs)).collect()}
+    assert got[100].licences == ["mit"] and got[100].n_paragraphs == 3 and got[100].n_confirmed == 1
+    assert got[101].licences == ["lgpl"] and got[101].n_paragraphs == 1
+    assert got[102].licences == ["mit"] and got[102].n_confirmed == 1
+    assert not any(got[i].licences or got[i].n_unknown for i in range(60))
+
+
 # ------------------------------------------------------------------------------------- pipeline
 
 
