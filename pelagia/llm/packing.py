@@ -21,91 +21,122 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 WINDOW, END_ID = 2048, 1
-#: What sends a text down the tokenizer's own path: special tokens, which may hold no blanks but cross the rules of chunks, and the
-#: control characters that str.split() takes for blanks and the tokenizer doesn't.
-_WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+#: A text that holds this may hold a special token, which crosses the rules of chunks: it takes the tokenizer's own path.
+_SPECIAL = "<|"
+#: The tokenizer's own pre-tokenisation of a chunk without blanks; a fixed pattern.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level models write for each byte: itself where it prints, else the next one from U+0100 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class _Ids:
+    """Lists of token ids one after another, in arrays that grow."""
+
+    def __init__(self, width: type) -> None:
+        self.size = self.used = 0
+        self.begin, self.count, self.flat = np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(4096, width)
+
+    @staticmethod
+    def _room(x: np.ndarray, n: int) -> np.ndarray:
+        return x if n <= len(x) else np.concatenate([x, np.zeros(max(n - len(x), len(x)), x.dtype)])
+
+    def extend(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        n, used = self.size + len(counts), self.used + len(ids)
+        self.begin, self.count, self.flat = self._room(self.begin, n), self._room(self.count, n), self._room(self.flat, used)
+        self.flat[self.used : used] = ids
+        self.count[self.size : n] = counts
+        self.begin[self.size : n] = self.used + np.cumsum(counts) - counts
+        self.size, self.used = n, used
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these lists, and where each of them ends."""
+        count = self.count[numbers].astype(np.int64)
+        stop = np.concatenate([[0], np.cumsum(count)])
+        return self.flat[np.repeat(self.begin[numbers] - stop[:-1], count) + np.arange(stop[-1])], stop
 
 
 class CachedTokenizer:
-    """Ids of texts by a tokenizer whose pieces never cross white space: each distinct chunk between blanks is encoded once.
+    """Ids of texts by a tokenizer whose pieces never cross white space: each distinct chunk between ASCII blanks is encoded once.
 
-    Plain lower-cased letters skip normalisation and pre-tokenisation, which leave them as they are; everything else takes the
-    tokenizer's own path.  The caches hold at most max_chunks entries and start anew beyond that.
+    The chunks of a whole batch are split and told apart in Arrow; only the distinct ones meet the cache.  A new chunk of printable
+    characters below U+0180 is lower-cased and cut into pieces here, and the model encodes each distinct piece once; other chunks,
+    where normalisation does more, take the tokenizer's own path.  The caches hold about max_chunks entries and start anew beyond that.
     """
 
-    def __init__(self, path: str, max_chunks: int = 600_000):
+    def __init__(self, path: str, max_chunks: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
-        if self.full.get_vocab_size() > 1 << 16:
-            raise ValueError("ids are kept in 16 bits here")
+        self.width = np.uint16 if self.full.get_vocab_size() <= 1 << 16 else np.uint32
         self.model = self.full.model
         self.max_chunks = max_chunks
+        self.letters = _byte_letters()
         self._reset()
 
     def _reset(self) -> None:
-        self.at: dict[str, int] = {}  # chunk -> number
-        self.size = self.used = 0
-        self.begin, self.count = np.zeros(1024, np.int32), np.zeros(1024, np.int32)
-        self.flat = np.zeros(4096, np.uint16)
-
-    def _letters(self, core: str) -> np.ndarray:
-        """Ids of lower-case letters, which are a chunk of their own."""
-        n = self.at.get(core)
-        if n is None:
-            return self._put(core, [t.id for t in self.model.tokenize(core)])
-        return self.flat[self.begin[n] : self.begin[n] + self.count[n]]
-
-    def _put(self, chunk: str, ids) -> np.ndarray:
-        if self.size == len(self.begin):
-            self.begin, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.count))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        out = self.flat[self.used : self.used + len(ids)]
-        out[:] = ids
-        self.begin[self.size], self.count[self.size] = self.used, len(ids)
-        self.used += len(ids)
-        self.at[chunk] = self.size
-        self.size += 1
-        return out
+        self.chunks: dict[str, int] = {}
+        self.pieces: dict[str, int] = {}
+        self.of_chunk, self.of_piece = _Ids(self.width), _Ids(self.width)
 
     def _learn(self, chunks: list[str]) -> None:
-        for chunk in chunks:
-            if chunk in self.at:
-                continue
-            if chunk.isascii():
-                core = chunk.lower()
-                if core.isalpha():
-                    ids = self._letters(core)
-                    if core != chunk:
-                        self._put(chunk, ids)
-                    continue
-                if core[-1] in ".," and core[:-1].isalpha():
-                    self._put(chunk, np.concatenate([self._letters(core[:-1]), self._letters(core[-1])]))
-                    continue
-            self._put(chunk, self.full.encode(chunk, add_special_tokens=False).ids)
-
-    def encode(self, text: str) -> np.ndarray:
-        if self.size > self.max_chunks:
+        known, parts, many = self.pieces, [], []
+        new: list[int] = []  # ids of the pieces that are new
+        sizes: list[int] = []
+        for c in chunks:
+            if not c.isprintable() or not c.isascii() and (max(c) > "\u017f" or "\u0130" in c):
+                pieces, whole = (c,), True
+            else:
+                low, whole = c.lower(), False
+                pieces = (low,) if low.isalpha() else (low[:-1], low[-1]) if low[-1:] in (".", ",") and low[:-1].isalpha() else _PIECES.findall(low)
+            many.append(len(pieces))
+            for x in pieces:
+                n = known.get(x)
+                if n is None:
+                    n = known[x] = len(known)
+                    if whole:
+                        ids = self.full.encode(x, add_special_tokens=False).ids
+                    else:
+                        ids = [t.id for t in self.model.tokenize(x if x.isascii() else x.encode().decode("latin-1").translate(self.letters))]
+                    new += ids
+                    sizes.append(len(ids))
+                parts.append(n)
+        self.of_piece.extend(np.array(new, self.width), np.array(sizes, np.int32))
+        ids, stop = self.of_piece.of(np.array(parts, np.int64))
+        self.chunks.update(zip(chunks, range(len(self.chunks), len(self.chunks) + len(chunks)), strict=True))
+        self.of_chunk.extend(ids, np.diff(stop[np.concatenate([[0], np.cumsum(many)])]))
+
+    def encode(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
+        """For each text its ids and the end id; null is an empty text."""
+        if len(self.chunks) + len(self.pieces) > self.max_chunks:
             self._reset()
-        if any(x in text for x in _WHOLE):
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
-        chunks = text.split()
-        if not chunks:
-            return np.zeros(0, np.uint32)
-        try:
-            at = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
-        except KeyError:
-            self._learn(chunks)
-            at = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
-        count = self.count[at].astype(np.int64)
-        ends = np.cumsum(count)
-        return self.flat[np.repeat(self.begin[at] - ends + count, count) + np.arange(ends[-1])].astype(np.uint32)
+        texts = pc.fill_null(texts, "")
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        get = self.chunks.get
+        if new := [c for c in distinct if get(c) is None]:
+            self._learn(new)
+        number = np.fromiter(map(get, distinct), np.int64, len(distinct))
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        tokens, stop = self.of_chunk.of(number[coded.indices.to_numpy(zero_copy_only=False)])
+        last = stop[ends[1:] - ends[0]]
+        ids = np.insert(tokens.astype("<u4"), last, end_id)
+        out = np.split(ids, (last + np.arange(1, len(last) + 1))[:-1]) if len(last) else []
+        for i in np.flatnonzero(pc.match_substring(texts, _SPECIAL).to_numpy(zero_copy_only=False)):
+            out[i] = np.array([*self.full.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, end_id], "<u4")
+        return out
 
 
 _TOKENIZERS: dict[str, CachedTokenizer] = {}
@@ -121,9 +152,12 @@ def tokenizer(path: str) -> CachedTokenizer:
 class SumOfSquares:
     """The level array and the open windows of one packer."""
 
+    EMPTY = -(1 << 40)
+
     def __init__(self, window: int = WINDOW):
         self.window = window
         self.levels = np.zeros(window + 1, np.int64)  # N(h); entries 0 and window stay 0
+        self.filled = np.full(window + 1, self.EMPTY, np.int64)  # N(h), or EMPTY where there is none to fill further
         self.open: list[list[list]] = [[] for _ in range(window + 1)]  # by level: windows, each a list of pieces
         self.done: list[list] = []
 
@@ -132,22 +166,29 @@ class SumOfSquares:
         if length == w:
             self.done.append([piece])
             return
-        gain = self.levels[length:] - self.levels[: w + 1 - length]  # N(h + a) - N(h) for h = 0 .. w - a
-        gain = np.where(self.levels[: w + 1 - length] > 0, 2 * gain + 2, np.iinfo(np.int64).max)
-        # Filling a window up to the brim only takes one away.
-        if self.levels[w - length]:
-            gain[w - length] = 1 - 2 * self.levels[w - length]
-        gain[0] = 2 * self.levels[length] + 1
-        h = int(gain.argmin())
-        held = self.open[h].pop() if h else []
-        if h:
-            self.levels[h] -= 1
+        # Twice N(h + a) - N(h), plus 2, for h = 1 .. w - a - 1; filling up to the brim only takes a window away.
+        h, least = 0, 2 * int(self.levels[length]) + 1
+        if w - length > 1:
+            gain = self.levels[length + 1 : w] - self.filled[1 : w - length]
+            at = int(gain.argmin())
+            if 2 * int(gain[at]) + 2 < least:
+                h, least = at + 1, 2 * int(gain[at]) + 2
+        if self.levels[w - length] and 1 - 2 * int(self.levels[w - length]) < least:
+            h = w - length
+        held = self._taken(h) if h else []
         held.append(piece)
         if h + length == w:
             self.done.append(held)
         else:
-            self.levels[h + length] += 1
-            self.open[h + length].append(held)
+            at = h + length
+            self.levels[at] += 1
+            self.filled[at] = self.levels[at]
+            self.open[at].append(held)
+
+    def _taken(self, h: int) -> list:
+        self.levels[h] -= 1
+        self.filled[h] = self.levels[h] or self.EMPTY
+        return self.open[h].pop()
 
     def full(self) -> list[list]:
         out, self.done = self.done, []
@@ -174,6 +215,31 @@ def _cut(pieces: list[tuple], window: int) -> Iterator[list[tuple]]:
                 held, room = [], size() if left else 0
 
 
+def _together(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[tuple[list, pa.Array]]:
+    """doc_ids and texts, small batches put together and large ones cut to about `size` bytes of text."""
+    held, many = [], 0
+
+    def gathered() -> tuple[list, pa.Array]:
+        t = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        return t.column(0).to_pylist(), t.column(1).combine_chunks() if t.num_rows else pa.array([], pa.string())
+
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + size - many, side="right")))
+            held.append(b.slice(at, stop - at))
+            many += int(ends[stop - 1]) - before
+            at = stop
+            if many >= size or at < b.num_rows:
+                yield gathered()
+                many = 0
+    if held:
+        yield gathered()
+
+
 def _packer(path: str, window: int, end_id: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
@@ -186,7 +252,7 @@ def _packer(path: str, window: int, end_id: int):
             for pieces in windows:
                 offset = 0
                 for doc, start, ids, total in pieces:
-                    rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, number, offset))
+                    rows.append((doc, start, len(ids), zlib.crc32(ids), total, number, offset))
                     offset += len(ids)
                 number += 1
 
@@ -195,14 +261,17 @@ def _packer(path: str, window: int, end_id: int):
             rows.clear()
             return out
 
-        for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = np.append(tok.encode(text.as_py() or ""), np.uint32(end_id)).astype(np.uint32)
-                whole = len(ids) // window * window
-                emit([(doc, at, ids[at : at + window], len(ids))] for at in range(0, whole, window))
-                if whole < len(ids):
-                    state.place((doc, whole, ids[whole:], len(ids)), len(ids) - whole)
-                    emit(state.full())
+        for docs, texts in _together(batches):
+            for doc, ids in zip(docs, tok.encode(texts, end_id), strict=True):
+                total = len(ids)
+                whole = total // window * window
+                if whole:
+                    emit([(doc, at, ids[at : at + window], total)] for at in range(0, whole, window))
+                if whole < total:
+                    # An open window keeps a copy, not the batch that its piece lies in.
+                    state.place((doc, whole, ids[whole:].copy(), total), total - whole)
+                    if state.done:
+                        emit(state.full())
                 if len(rows) > 5000:
                     yield batch()
         emit(_cut(state.close(), window))
