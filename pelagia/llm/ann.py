@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import smallest_hashes, staged
+from pelagia.llm.common import Scratch, smallest_hashes
 
 
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -210,10 +210,11 @@ class PostingLists:
         spark = vectors.sparkSession
         if self.graph is None:
             return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-        lists = staged(self.assign(vectors), "posting_lists")
+        scratch = Scratch(spark)
+        lists = scratch.staged(self.assign(vectors), "posting_lists", keep=True)
         sizes = lists.groupBy("list").agg(F.count("*").alias("rows"), F.sum(F.col("is_primary").cast("int")).alias("own")).collect()  # at most max_lists rows
         queries = usable(vectors.where(is_query), self.dim).withColumnRenamed("vec_id", "query_id")
-        probes = staged(self.probes(queries, {r["list"]: r["own"] for r in sizes}, k), "probes")
+        probes = scratch.staged(self.probes(queries, {r["list"]: r["own"] for r in sizes}, k), "probes", keep=True)
         unit_of = self.units({r["list"]: r["rows"] for r in sizes})
         sent = spark.sparkContext.broadcast(unit_of)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 import zlib
@@ -34,11 +35,93 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/pelagia/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: What lazy results still read: (session, path, table or "").
+_HELD: list[tuple[SparkSession, str, str]] = []
+
+
+def held() -> int:
+    """A mark for release(): the tables that are held by now."""
+    return len(_HELD)
+
+
+def release(after: int = 0) -> None:
+    """Delete the staged tables that lazy results read, those held after a mark.  Call it when the results are written; all go when Python ends."""
+    while len(_HELD) > after:
+        spark, path, table = _HELD.pop()
+        if spark.sparkContext._jsc is not None:  # else the session is over, and its folder with it
+            if table:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            remove(spark, path)
+
+
+atexit.register(release)
+
+
+class Scratch:
+    """The tables that one query stages in the shared folder; close() deletes all but those that its lazy result reads (keep)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.own: dict[str, str] = {}  # path -> table or ""
+
+    def staged(self, df: DataFrame, name: str, partition_by: Sequence[str] = (), keep: bool = False) -> DataFrame:
+        """Write df once and read it back: the lineage ends, and lost executors cost no rerun of df."""
+        path = self.path(name, keep=keep)
+        df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def path(self, name: str, table: str = "", keep: bool = False) -> str:
+        path = fresh_path(self.spark, name)
+        if keep:
+            _HELD.append((self.spark, path, table))
+        else:
+            self.own[path] = table
+        return path
+
+    def drop(self, path: str) -> None:
+        table = self.own.pop(path)
+        if table:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove(self.spark, path)
+
+    def keep(self) -> None:
+        """Leave all tables to release()."""
+        _HELD.extend((self.spark, path, table) for path, table in self.own.items())
+        self.own.clear()
+
+    def close(self) -> None:
+        for path in list(self.own):
+            self.drop(path)
+
+
 def staged(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write df once to the shared folder and read it back: the lineage ends, and lost executors cost no rerun of df."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).staged(df, name, partition_by, keep=True)
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """wanted, each with underscores added until df has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def set_aside(df: DataFrame, inner: Sequence[str], results: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """df without the columns that results will replace, and with those that share a name with inner columns renamed; the way back."""
+    taken = {n.lower() for n in inner}
+    out = df.drop(*[c for c in df.columns if c.lower() in {r.lower() for r in results}])
+    clash = [c for c in out.columns if c.lower() in taken]
+    away = dict(zip(clash, free_names(out, *[f"{c}_" for c in clash]), strict=True))
+    return out.withColumnsRenamed(away), {v: k for k, v in away.items()}
 
 
 def partitions(spark: SparkSession) -> int:
@@ -50,10 +133,10 @@ def salted_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how:
 
     lookup is repeated once for each salt; it holds a row for a key, not for a document, so the copies stay small.
     """
-    other = [c for c in rows.columns if c not in keys]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*other), F.lit(salts)).cast("int"))
-    spread = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+    (salt,) = free_names(rows.select("*", *[F.lit(0).alias(c) for c in lookup.columns if c not in rows.columns]), "_salt")
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(*[c for c in rows.columns if c not in keys]), F.lit(salts)).cast("int"))
+    spread = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(spread, [*keys, salt], how).drop(salt)
 
 
 def smallest_hashes(df: DataFrame, order: str, total: int, rows: int) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import salted_lookup, staged
+from pelagia.llm.common import Scratch, salted_lookup
 
 BITS = 16
 #: Trigrams of one page hang together; beyond this many they count as if there were so many.
@@ -131,7 +131,7 @@ def identify(pages: DataFrame, docs: DataFrame, strength: float = 5.0) -> DataFr
         none = F.lit(None).cast("string")
         return pages.select("page_id", none.alias("lang"), F.lit(None).cast("double").alias("confidence"), none.alias("text_lang"), none.alias("declared"), _host(F.col("url")).alias("host"))
     n = len(names)
-    base = staged(evidence(pages, names, model).withColumn("p", _softmax(F.col("text"))), "evidence")
+    base = Scratch(pages.sparkSession).staged(evidence(pages, names, model).withColumn("p", _softmax(F.col("text"))), "evidence", keep=True)
     sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)]
 
     def counted(key: str) -> DataFrame:

@@ -6,23 +6,25 @@ flow repeats as little as the quotas allow.  The flow gives each pattern a numbe
 order, whole, until that number is reached; the last one gives only the words still needed.
 
 Only one row for each pattern reaches the driver, and the plan that goes back (one row for each pattern) is what is broadcast;
-max_patterns bounds both and a corpus with more raises an error.  The order within a pattern is found by hash buckets, so no
-task holds a whole source.
+max_patterns bounds both and a corpus with more raises an error.  Each set of patterns that sources join is a flow of its own; one of
+more than 2,000 patterns (about a minute for the driver, with two of 100 sources each) raises an error, too.  The order within a pattern is found by ranges of the seeded key, so no task holds a whole source.
 
 Cases: a null source is a source of its own, last in order; a null or empty text has size 0 and is never taken; repeated rows
-are rows of their own and share alike at the boundary; no documents, or only empty ones, give targets of 0.
+are rows of their own and share alike at the boundary; no documents, or only empty ones, give targets of 0; other columns pass
+through, whatever their names, but size, source_size, target and taken, which the result replaces.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import WORD, staged
+from pelagia.llm.common import WORD, Scratch, free_names, set_aside
 
 SEED = "mix"
 
@@ -38,7 +40,8 @@ def targets(sizes: dict[str | None, int], total: int, weights: tuple[int, ...] =
     out: dict[str | None, Fraction] = {}
     left, open_ = ratio * total, list(order)
     while open_:
-        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        whole = sum(weight[s] for s in open_)
+        share = {s: left * weight[s] / whole for s in open_}
         full = [s for s in open_ if share[s] > copies * sizes[s]]
         if not full:
             return out | share
@@ -100,13 +103,45 @@ def min_cost_flow(capacity: dict[int, int], quota: dict[int, int], links: list[t
             edges[e ^ 1][1] += push
 
 
+def routed(capacity: dict[int, int], quota: dict[int, int], links: list[tuple[int, int]], copies: int = 2, max_joined: int = 2000) -> dict[int, int]:
+    """Tokens that each pattern gives: one flow for each set of patterns that sources join, so disjoint sources cost no search."""
+    root = {s: s for s in quota}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    first: dict[int, int] = {}
+    for p, s in links:
+        root[find(s)] = find(first.setdefault(p, s))
+    parts: dict[int, list[tuple[int, int]]] = {}
+    for p, s in links:
+        parts.setdefault(find(s), []).append((p, s))
+    out = dict.fromkeys(capacity, 0)
+    for part in parts.values():
+        patterns = {p: capacity[p] for p, _ in part}
+        if len(patterns) > max_joined:
+            raise ValueError(f"sources join more than {max_joined} membership patterns")
+        for (p, _), x in min_cost_flow(patterns, {s: quota[s] for _, s in part}, part, copies).items():
+            out[p] += x
+    return out
+
+
 def _order_key(doc_id: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
 
 
-def measured(docs: DataFrame, memberships: Column) -> DataFrame:
-    """docs with size, pattern (its sorted memberships as JSON) and seeded order key."""
-    return docs.withColumns({"size": word_count(F.col("text")), "pattern": F.to_json(F.array_sort(F.array_distinct(memberships)), {"ignoreNullFields": "false"}), "order_key": _order_key(F.col("doc_id"))})
+#: Columns that the work adds and takes away again, and those that its result has.
+INNER, RESULTS = ("pattern", "order_key", "whole", "rest", "last", "part"), ("size", "source_size", "target", "taken")
+
+
+def measured(docs: DataFrame, memberships: Column) -> tuple[DataFrame, dict[str, str]]:
+    """docs with size, pattern (its sorted memberships as JSON) and seeded order key; columns of those names are set aside."""
+    (name,) = free_names(docs, "_memberships")
+    docs, back = set_aside(docs.withColumn(name, memberships), INNER, RESULTS)
+    sized = docs.withColumns({"size": word_count(F.col("text")), "pattern": F.to_json(F.array_sort(F.array_distinct(name)), {"ignoreNullFields": "false"}), "order_key": _order_key(F.col("doc_id"))})
+    return sized.drop(name), back
 
 
 def plan(sized: DataFrame, copies: int = 2, max_patterns: int = 100_000, bucket_rows: int = 2000) -> DataFrame:
@@ -114,8 +149,6 @@ def plan(sized: DataFrame, copies: int = 2, max_patterns: int = 100_000, bucket_
 
     sized: doc_id, size, pattern, order_key (staged; it is read more than once).
     """
-    import json
-
     spark = sized.sparkSession
     rows = sized.groupBy("pattern").agg(F.sum("size").alias("cap"), F.count("*").alias("n")).orderBy("pattern").limit(max_patterns + 1).collect()
     if len(rows) > max_patterns:
@@ -129,44 +162,54 @@ def plan(sized: DataFrame, copies: int = 2, max_patterns: int = 100_000, bucket_
     names = list(goal)
     number = {s: i for i, s in enumerate(names)}
     quota = {number[s]: int(t + Fraction(1, 2)) for s, t in goal.items()}
-    flow = min_cost_flow({i: cap for i, (_, _, cap) in enumerate(patterns)}, quota, [(i, number[s]) for i, (_, sources, _) in enumerate(patterns) for s in sources], copies)
-    routed: dict[int, int] = {}
-    for (p, _), x in flow.items():
-        routed[p] = routed.get(p, 0) + x
-    wanted = [(key, *divmod(routed.get(i, 0), cap), float(goal[sources[0]]) if sources else 0.0, sizes[sources[0]] if sources else 0) if cap else (key, 0, 0, 0.0, 0) for i, (key, sources, cap) in enumerate(patterns)]
-    table = spark.createDataFrame(wanted, "pattern string, whole long, rest long, target double, source_size long")
-    # The document at which the rest is reached: hash buckets first, then the order within that one bucket.
-    buckets = 1 << max(0, (sum(r["n"] for r in rows) // bucket_rows).bit_length())
-    numbered = sized.where("size > 0").withColumn("bucket", F.floor(F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long") * F.lit(buckets) / F.lit(1 << 32)))
-    same = numbered.groupBy("pattern", "bucket", "order_key", "doc_id", "size").agg(F.count("*").alias("n"))
-    within = W.partitionBy("pattern", "bucket").orderBy("order_key", "doc_id", "size")
-    ahead = same.groupBy("pattern", "bucket").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
-    ahead = ahead.withColumn("ahead", F.sum("words").over(W.partitionBy("pattern").orderBy("bucket")) - F.col("words"))
-    edge = ahead.join(F.broadcast(table), "pattern").where("ahead < rest AND rest <= ahead + words").select("pattern", "bucket", "ahead", "rest")
-    reach = same.join(F.broadcast(edge), ["pattern", "bucket"]).withColumn("before", F.col("ahead") + F.sum(F.col("size") * F.col("n")).over(within) - F.col("size") * F.col("n"))
-    last = reach.where("before < rest AND rest <= before + size * n").select("pattern", F.struct("order_key", "doc_id", "size").alias("last"), F.floor((F.col("rest") - F.col("before")) / F.col("n")).alias("part"))
+    given = routed({i: cap for i, (_, _, cap) in enumerate(patterns)}, quota, [(i, number[s]) for i, (_, sources, _) in enumerate(patterns) for s in sources], copies)
+    wanted = [(key, *divmod(given[i], cap), float(goal[sources[0]]) if sources else 0.0, sizes[sources[0]] if sources else 0) if cap else (key, 0, 0, 0.0, 0) for i, (key, sources, cap) in enumerate(patterns)]
+    # The document at which the rest is reached: 256 ranges of the order key for each pattern, then 256 within the one where the rest
+    # ends, until that holds about bucket_rows rows; these are put in order.  No step holds more than 256 sums of a pattern.
+    most = max((r["n"] for r in rows), default=0)
+    levels = max(1, -(-max(0, (most // bucket_rows).bit_length()) // 8))
+    prefix = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long")
+    same = sized.where("size > 0").groupBy("pattern", "order_key", "doc_id", "size").agg(F.count("*").alias("n")).withColumns({"prefix": prefix, "words": F.col("size") * F.col("n")})
+    open_ = F.broadcast(spark.createDataFrame([(w[0], w[2]) for w in wanted if w[2]], "pattern string, rest long"))
+    reach = same.join(open_, "pattern")
+    for level in range(1, min(levels, 4) + 1):
+        sums = reach.withColumn("bucket", F.shiftright("prefix", 32 - 8 * level)).groupBy("pattern", "rest", "bucket").agg(F.sum("words").alias("words"))
+        ahead = sums.withColumn("ahead", F.sum("words").over(W.partitionBy("pattern").orderBy("bucket")) - F.col("words"))
+        edge = ahead.where("ahead < rest AND rest <= ahead + words").select("pattern", "bucket", (F.col("rest") - F.col("ahead")).alias("rest")).collect()  # a row a pattern at most
+        table = F.broadcast(spark.createDataFrame(edge, "pattern string, bucket long, rest long"))
+        reach = same.withColumn("bucket", F.shiftright("prefix", 32 - 8 * level)).join(table, ["pattern", "bucket"]).drop("bucket")
+    before = F.sum("words").over(W.partitionBy("pattern").orderBy("order_key", "doc_id", "size")) - F.col("words")
+    last = reach.withColumn("before", before).where("before < rest AND rest <= before + words").select("pattern", F.struct("order_key", "doc_id", "size").alias("last"), F.floor((F.col("rest") - F.col("before")) / F.col("n")).alias("part"))
     at = {r["pattern"]: (tuple(r["last"]), r["part"]) for r in last.collect()}  # one row a pattern at most
     return spark.createDataFrame([(*w, *at.get(w[0], (None, 0))) for w in wanted], "pattern string, whole long, rest long, target double, source_size long, last struct<order_key string, doc_id long, size long>, part long")
 
 
-def take(sized: DataFrame, plan: DataFrame) -> DataFrame:
+def take(sized: DataFrame, plan: DataFrame, back: dict[str, str]) -> DataFrame:
     """sized with target, source_size and taken (words, repeats counted); rows stay where they are."""
     here = F.struct("order_key", F.col("doc_id").cast("long").alias("doc_id"), "size")
     more = F.when(F.col("last").isNull(), 0).when(here < F.col("last"), F.col("size")).when(here == F.col("last"), F.col("part")).otherwise(0)
-    return sized.join(F.broadcast(plan), "pattern").withColumn("taken", (F.col("size") * F.col("whole") + more).cast("long")).drop("pattern", "order_key", "whole", "rest", "last", "part")
+    out = sized.join(F.broadcast(plan), "pattern").withColumn("taken", (F.col("size") * F.col("whole") + more).cast("long"))
+    return out.drop(*INNER).withColumnsRenamed(back)
+
+
+def _small(sized: DataFrame, scratch: Scratch, keep: bool) -> DataFrame:
+    return scratch.staged(sized.select("doc_id", "size", "pattern", "order_key"), "sizes", keep=keep)
 
 
 def mix(docs: DataFrame, memberships: Column | None = None, copies: int = 2) -> DataFrame:
     """docs with size, source_size, target (its first source's) and taken.  memberships: an array of source names; source alone by default."""
-    sized = measured(docs, F.array("source") if memberships is None else memberships)
-    small = staged(sized.select("doc_id", "size", "pattern", "order_key"), "sizes")
-    return take(sized, plan(small, copies))
+    scratch = Scratch(docs.sparkSession)
+    sized, back = measured(docs, F.array("source") if memberships is None else memberships)
+    table = plan(_small(sized, scratch, keep=False), copies)
+    scratch.close()
+    return take(sized, table, back)
 
 
 def sizes_and_taken(docs: DataFrame, memberships: Column | None = None, copies: int = 2) -> DataFrame:
-    """As mix(), from the staged sizes alone: the texts are read once."""
-    small = staged(measured(docs, F.array("source") if memberships is None else memberships).select("doc_id", "size", "pattern", "order_key"), "sizes")
-    return take(small, plan(small, copies))
+    """As mix(), from the staged sizes alone: the texts are read once.  The sizes stay in the shared folder until release()."""
+    sized, _ = measured(docs, F.array("source") if memberships is None else memberships)
+    small = _small(sized, Scratch(docs.sparkSession), keep=True)
+    return take(small, plan(small, copies), {})
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

@@ -11,10 +11,11 @@ cover them either; those few are compared among themselves by a 128-bit hash, wh
 
 A window counts as repeated when its words also start in a document with a smaller doc_id; its words go from the larger one.
 Texts are shuffled once, compressed, into a bucketed table that both the extension and the removal read; what travels besides is
-the segments of text around shared anchors.
+the segments of text around shared anchors.  Until release() that table and the ranges stay in the shared folder for the lazy result.
 
 Cases: a null or empty text has no words; repeats within one document don't count; rows that repeat a doc_id are told apart by a
-tag of their text and judged against smaller ids only; rows without doc_id keep every word; texts shorter than a window, too.
+tag of their text and judged against smaller ids only; copies of a row are looked at once and all get its outcome; rows without
+doc_id keep every word; texts shorter than a window, too; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.common import fresh_path, partitions, rolling, salted_lookup, staged, word_hashes
+from pelagia.llm.common import Scratch, partitions, rolling, salted_lookup, word_hashes
 
 SPAN, SEED = 50, 10
 
@@ -160,35 +161,36 @@ def _extend(seed: int, span: int):
     return run
 
 
-def shared_seeds(docs: DataFrame, seed: int = SEED, span: int = SPAN) -> DataFrame:
-    """The anchors whose hash occurs in two documents or more, gathered by text: doc_id, tag, seeds."""
-    found = staged(anchors(docs, seed, span), "anchors")
+def shared_seeds(docs: DataFrame, scratch: Scratch, seed: int = SEED, span: int = SPAN) -> DataFrame:
+    """The anchors whose hash occurs in two documents or more, gathered by text: doc_id, tag, seeds.  Repeated rows count once."""
+    found = scratch.staged(anchors(docs, seed, span), "anchors")
     shared = found.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("h")
     both = salted_lookup(found, shared, ["h"], "left_semi", 4)
-    return both.groupBy("doc_id", tag_of(F.col("place")).alias("tag")).agg(F.collect_list(F.struct("place", "h")).alias("seeds"))
+    return both.groupBy("doc_id", tag_of(F.col("place")).alias("tag")).agg(F.collect_set(F.struct("place", "h")).alias("seeds"))
 
 
-def repeats(texts: DataFrame, seed: int = SEED, span: int = SPAN, pair_rows: int = 500) -> DataFrame:
+def repeats(texts: DataFrame, scratch: Scratch, seed: int = SEED, span: int = SPAN, pair_rows: int = 500) -> DataFrame:
     """doc_id, tag and the word ranges (begin, finish) that repeat a passage of a smaller doc_id; ranges may overlap.
 
-    texts: doc_id, tag, zipped, seeds.
+    texts: doc_id, tag, zipped, seeds; one row of those that repeat a text of a doc_id is looked at.
     """
-    segments = staged(texts.where("seeds IS NOT NULL").select("doc_id", "tag", "zipped", "seeds").mapInArrow(_segments(span), "doc_id long, tag int, segment int, words binary, place array<long>, h array<long>"), "segments")
+    once = texts.where("seeds IS NOT NULL").dropDuplicates(["doc_id", "tag"])  # bucketed by these: nothing moves
+    segments = scratch.staged(once.select("doc_id", "tag", "zipped", "seeds").mapInArrow(_segments(span), "doc_id long, tag int, segment int, words binary, place array<long>, h array<long>"), "segments")
     single = segments.select("doc_id", "tag", "segment", F.explode(F.arrays_zip("place", "h")).alias("s")).select("doc_id", "tag", "segment", "s.place", "s.h")
     first = single.groupBy("h").agg(F.min(F.struct("doc_id", "place", "segment")).alias("first"))
     met = salted_lookup(single, first, ["h"], "inner", 4)
     pairs = met.groupBy("doc_id", "tag", "segment", F.col("first.doc_id").alias("first_doc"), tag_of(F.col("first.place")).alias("first_tag"), F.col("first.segment").alias("first_segment")).agg(F.collect_list(F.struct("place", F.col("first.place").alias("first"))).alias("pairs"))
-    pairs = staged(pairs, "segment_pairs")
+    pairs = scratch.staged(pairs, "segment_pairs")
     # A segment that many meet is repeated, so that no task extends more than about pair_rows pairs against it.
     spread = pairs.groupBy("first_doc", "first_tag", "first_segment").agg(F.ceil(F.count("*") / pair_rows).cast("int").alias("salts"))
     key = ["first_doc", "first_tag", "first_segment"]
-    salted = pairs.join(spread, key).withColumn("salt", F.pmod(F.xxhash64("doc_id", "tag", "segment"), F.col("salts")).cast("int")).drop("salts")
+    salted = salted_lookup(pairs, spread, key, "inner", 8).withColumn("salt", F.pmod(F.xxhash64("doc_id", "tag", "segment"), F.col("salts")).cast("int")).drop("salts")
     text = segments.select("doc_id", "tag", "segment", F.col("words").alias("own"))
     other = segments.select(F.col("doc_id").alias("first_doc"), F.col("tag").alias("first_tag"), F.col("segment").alias("first_segment"), F.col("words").alias("other"))
     other = other.join(spread, key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     # Merge joins at every size: whether a side is broadcast would otherwise hang on the input.
     ready = salted.join(text.hint("merge"), ["doc_id", "tag", "segment"]).join(other.hint("merge"), [*key, "salt"]).select("doc_id", "tag", "segment", "first_doc", "first_segment", "pairs", "own", "other")
-    extended = staged(ready.mapInArrow(_extend(seed, span), "doc_id long, tag int, begin int, finish int, window binary"), "extended")
+    extended = scratch.staged(ready.mapInArrow(_extend(seed, span), "doc_id long, tag int, begin int, finish int, window binary"), "extended")
     open_ = extended.where("window IS NOT NULL").select("doc_id", "tag", "begin", "window")
     again = open_.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("window", "low")
     rest = salted_lookup(open_, again, ["window"], "inner", 4).where("low < doc_id").select("doc_id", "tag", "begin", (F.col("begin") + span).alias("finish"))
@@ -221,11 +223,14 @@ def _keep():
 def remove_repeats(docs: DataFrame, seed: int = SEED, span: int = SPAN) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text for every row of docs."""
     spark, n = docs.sparkSession, partitions(docs.sparkSession)
+    scratch = Scratch(spark)
     table = f"substring_texts_{uuid.uuid4().hex[:12]}"
-    joined = _packed(docs).join(shared_seeds(docs, seed, span).hint("merge"), ["doc_id", "tag"], "left")
-    joined.write.bucketBy(n, "doc_id", "tag").option("path", fresh_path(spark, table)).format("parquet").saveAsTable(table)
+    joined = _packed(docs).join(shared_seeds(docs, scratch, seed, span).hint("merge"), ["doc_id", "tag"], "left")
+    joined.write.bucketBy(n, "doc_id", "tag").option("path", scratch.path(table, table, keep=True)).format("parquet").saveAsTable(table)
     texts = spark.table(table)
-    ranges = repeats(texts, seed, span).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("begin", "finish")).alias("r"))
+    ranges = repeats(texts, scratch, seed, span).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("begin", "finish")).alias("r"))
+    ranges = scratch.staged(ranges, "ranges", keep=True)
+    scratch.close()
     both = texts.select("doc_id", "tag", "zipped").join(ranges.hint("merge"), ["doc_id", "tag"], "left").select("doc_id", "zipped", F.col("r.begin").alias("begin"), F.col("r.finish").alias("finish"))
     return both.mapInArrow(_keep(), "doc_id long, n_words long, n_removed long, kept_text string")
 
