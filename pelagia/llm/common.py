@@ -99,10 +99,6 @@ class Scratch:
             self.drop(path)
 
 
-def staged(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    return Scratch(df.sparkSession).staged(df, name, partition_by, keep=True)
-
-
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """wanted, each with underscores added until df has no column of that name in any case."""
     taken = {c.lower() for c in df.columns}
