@@ -1,31 +1,42 @@
 """Licence scans: a trained paragraph classifier whose predictions templates confirm.
 
-Paragraphs (lines up to a line without words) are classified in overlapping windows of words (WINDOWS), and line by line, by multinomial logistic regression over hashed word 1-, 2- and 3-grams into licence families,
-"other licence" and "no licence".  It is trained here on variants of the templates below (words dropped, corpus words around
-them), on made-up licence notices for "other licence", and on at most `max_paragraphs` paragraphs of the corpus (a documented
-bound) for "no licence"; a temperature fitted on a held-out fifth calibrates the probabilities.  A family is reported only when its
-template confirms it: at least `contained` of the word pairs of one of its templates occur in the window.  A paragraph with a window
-that is likely a licence, but with none that is confirmed, is reported as unknown.  A window is scored unless an upper bound on all
-licences' scores over all its n-grams shows that it can't be likely.
+Paragraphs (lines up to a line without words) are classified in overlapping windows of words (WINDOWS), and line by line, by
+multinomial logistic regression over hashed word 1-, 2- and 3-grams: licence families, "other licence" and "no licence".  Every
+window of every paragraph is scored in full; sums over windows are differences of running sums, for all classes at once.
 
-The weights (2^BITS x classes) are the only thing broadcast.
+Training takes variants of the templates below (words dropped, corpus words around them), made-up notices for "other licence",
+and for "no licence" windows of at most `max_paragraphs` corpus lines (a documented bound; those with half of the word pairs
+of a template or a shape of notice are left out) as they are and with a few licence words strewn in.  Two shapes of notice and a fifth of the corpus lines are held out: a model
+fitted without them is scored on them, and on variants of the templates (which define their families) that lack three times as many
+words, among held-out words.  Its temperature and the offset of "no licence" are fitted to that, so that the probabilities of unknown
+licences and of plain text are calibrated on shapes and lines that training hasn't seen.  The final model is fitted on everything.
 
-Cases: a null or empty text is one empty paragraph without a licence; rows that repeat a doc_id are scanned each on their own.
+A family is reported only when its template confirms it: at least `contained` of the word pairs of one of its templates occur in
+the window.  A paragraph with a window that is likely a licence, but with none that is confirmed, counts as unknown.
+
+The weights (2^BITS x classes) are the only thing broadcast; one task fits them on the bounded sample.
+
+Cases: a null or empty text is one empty paragraph without a licence; rows that repeat a doc_id are scanned each on their own;
+without any corpus text nothing is learnt but the templates; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import compress, groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.llm.common import mix64, smallest_hashes, word_hashes
 
-BITS = 15
+BITS = 17
+SLICE = 40_000  # words that are scored at once
 
 #: Notices as published by the licences' authors; fixed values.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -41,61 +52,116 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
     ),
-    "lgpl": ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",),
-    "agpl-3.0": ("under the terms of the GNU Affero General Public License as published by the Free Software Foundation",),
+    "lgpl": (
+        "This library is licensed under the GNU Lesser General Public License.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+    ),
+    "agpl-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Use of this source code is governed by a BSD-style license",
     ),
-    "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+    "mpl-2.0": (
+        "Licensed under the Mozilla Public License, version 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    ),
     "cc-by-nc-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "cc-by-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "cc0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Released under CC0 1.0."),
-    "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",),
+    "isc": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    ),
+    "all-rights-reserved": ("All rights reserved.", "This material may not be copied or distributed. All rights reserved."),
 }
 OTHER, NONE = "other", "none"
 #: (words, step) of the windows: any run of up to words - step words lies whole in one; the longest template has under 48.
 WINDOWS = ((16, 4), (32, 8), (64, 16))
 #: Shapes of notices of licences that are none of the families; fixed values.
-NOTICES = ("Licensed under the {} License.", "Released under the {} License, version {}.", "This work is licensed under the {} terms.", "Distributed under the {} Public License.", "All rights reserved under the {} licence.", "You may use this work under the terms of the {} License.")
+NOTICES = ("Licensed under the {} License.", "Released under the {} License, version {}.", "This work is licensed under the {} terms.", "Distributed under the {} Public License.", "Copying is permitted under the {} licence.", "You may use this work under the terms of the {} License.")
 
 _CLEAN = bytes((c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c > 127 or c in (45, 46, 10) else 32) for c in range(256))
+#: Dots and hyphens that begin or end a word.
+_EDGES = re.compile(rb"(?<![^ \n])[.-]+|[.-]+(?![^ \n])")
+CLASSES = (*TEMPLATES, OTHER, NONE)
+
 
+def _cleaned(text: str | None) -> bytes:
+    raw = b" " + (text or "").encode("utf-8", "surrogatepass").translate(_CLEAN) + b" "
+    for _ in range(4):  # as _EDGES does, but quicker where few dots or hyphens stand together
+        before = len(raw)
+        for edge in (b". ", b".\n", b"- ", b"-\n"):
+            raw = raw.replace(edge, edge[1:])
+        for edge in (b" .", b"\n.", b" -", b"\n-"):
+            raw = raw.replace(edge, edge[:1])
+        if len(raw) == before:
+            return raw
+    return _EDGES.sub(b"", raw)
 
-def _words(paragraph: bytes) -> list[bytes]:
-    return [w for w in (x.strip(b".-") for x in paragraph.translate(_CLEAN).split()) if w]
 
+def _words(text: str | None) -> list[bytes]:
+    """The words; one that follows itself counts once."""
+    return [w for w, _ in groupby(_cleaned(text).split())]
 
-def _grams(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the 1-, 2- and 3-grams, and where each begins."""
+
+def _grams(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the 1-, 2- and 3-grams, each by its first word."""
     with np.errstate(over="ignore"):
         two = mix64(h[:-1] * np.uint64(3) + h[1:])
         three = mix64(two[:-1] * np.uint64(5) + h[2:])
-    at = [np.arange(len(x)) for x in (h, two, three)]
-    return (np.concatenate([h, two, three]) >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate(at)
+    return tuple((x >> np.uint64(64 - BITS)).astype(np.int64) for x in (h, two, three))
 
 
-def _features(paragraph: bytes) -> np.ndarray:
-    words = _words(paragraph)
-    return np.unique(_grams(word_hashes(words))[0]) if words else np.zeros(0, np.int64)
+def _features(words: list[bytes]) -> np.ndarray:
+    """All grams, with repeats, so that a window's score is a sum over its grams."""
+    return np.concatenate(_grams(word_hashes(words)))
 
 
 def _pairs(words: list[bytes]) -> set[tuple[bytes, bytes]]:
     return set(zip(words, words[1:], strict=False)) or {(w, b"") for w in words}
 
 
+KNOWN = {name: [_pairs(_words(t)) for t in texts] for name, texts in TEMPLATES.items()}
+
+
+def confirmed(words: list[bytes], name: str, contained: float = 0.8) -> bool:
+    pairs = _pairs(words)
+    return any(len(x & pairs) >= contained * len(x) for x in KNOWN[name])
+
+
 @dataclass
 class Scanner:
     weights: np.ndarray  # 2^BITS x classes
     bias: np.ndarray
     temperature: float
     classes: list[str]
+    accuracy: float = 1.0  # on the held-out texts, of the model without them
+
+    def scores(self, h: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Calibrated scores of the windows [at, end) of words with hashes h; at ascends, and no window has more than WINDOWS' words."""
+        out = np.zeros((len(at), len(self.classes)))
+        longest = WINDOWS[-1][0]
+        for begin in range(0, len(h), SLICE):
+            low, high = np.searchsorted(at, [begin, begin + SLICE])
+            if low == high:
+                continue
+            first, last, count = at[low:high] - begin, end[low:high] - begin, np.zeros(high - low)
+            for k, ids in enumerate(_grams(h[begin : begin + SLICE + longest])):
+                sums = np.zeros((len(ids) + 1, len(self.classes)))
+                np.cumsum(self.weights[ids], axis=0, dtype=np.float64, out=sums[1:])
+                stop = np.maximum(last - k, first)
+                count += stop - first
+                out[low:high] += sums[np.minimum(stop, len(ids))] - sums[np.minimum(first, len(ids))]
+            out[low:high] /= np.sqrt(np.maximum(count, 1))[:, None]
+        return (out + self.bias) / self.temperature
 
     def probabilities(self, words: list[bytes]) -> np.ndarray:
-        x = _grams(word_hashes(words))[0]
-        s = (self.weights[x].sum(0) / np.sqrt(max(len(x), 1)) + self.bias) / self.temperature
-        e = np.exp(s - s.max())
-        return e / e.sum()
+        """Of one window, plainly."""
+        x = _features(words)
+        return _softmax((self.weights[x].sum(0, dtype=np.float64) / np.sqrt(max(len(x), 1)) + self.bias)[None] / self.temperature)[0]
 
 
 def _softmax(s: np.ndarray) -> np.ndarray:
@@ -103,56 +169,105 @@ def _softmax(s: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(docs: DataFrame, max_paragraphs: int = 4000, epochs: int = 12, seed: int = 11) -> Scanner:
-    rng = np.random.default_rng(seed)
-    lines = docs.where("text IS NOT NULL").select(F.xxhash64(F.lit("licence"), "doc_id", "text").alias("order"), "doc_id", F.split("text", "\n", -1).alias("l"))
-    lines = smallest_hashes(lines, "order", docs.where("text IS NOT NULL").count(), max_paragraphs)
-    picked = lines.select("order", "doc_id", F.element_at("l", (F.pmod("order", F.size("l").cast("long")) + 1).cast("int")).alias("line")).orderBy("order", "doc_id").limit(max_paragraphs).collect()
-    corpus = [_words((r["line"] or "").encode("utf-8", "surrogatepass")) for r in picked]
-    known = [_pairs(_words(t.encode())) for ts in TEMPLATES.values() for t in ts]
-    plain = [w for w in corpus if w and not any(len(p & _pairs(w)) * 2 >= len(p) for p in known) and not any(x.startswith((b"licen", b"copyright")) for x in w)]
+def _rows(plain: list[list[bytes]], templates: dict[int, list[str]], shapes: Sequence[str], rng: np.random.Generator, many: int, lost: float = 0.06) -> tuple[list[np.ndarray], np.ndarray]:
+    """Features and classes of variants of these templates and shapes, and of windows of plain lines."""
     pool = [w for p in plain for w in p] or [b"the"]
-    classes = [*TEMPLATES, OTHER, NONE]
-    again = -(-1500 // len(plain)) if plain else 0  # a small corpus counts as much as the templates' variants
+    legal = sorted({w for texts in templates.values() for t in texts for w in _words(t)})
+    rows: list[tuple[list[bytes], int]] = []
 
     def window(words: list[bytes]) -> list[bytes]:
-        size = WINDOWS[int(rng.integers(0, len(WINDOWS)))][0]
+        size = (int(rng.integers(1, 8)), *(w for w, _ in WINDOWS))[int(rng.integers(0, len(WINDOWS) + 1))]
         at = int(rng.integers(0, max(len(words) - size, 0) + 1))
         return words[at : at + size]
 
-    rows: list[tuple[list[bytes], int]] = [(window(w), len(classes) - 1) for w in plain for _ in range(again)]
-
     def varied(words: list[bytes]) -> list[bytes]:
-        kept = [w for w in words if rng.random() > 0.06] or words
+        kept = [w for w in words if rng.random() > lost] or words
         around = [pool[i] for i in rng.integers(0, len(pool), int(rng.integers(0, 25)))] if rng.random() < 0.5 else []
         cut = int(rng.integers(0, len(around) + 1))
         return around[:cut] + kept + around[cut:]
 
-    for c, texts in enumerate(TEMPLATES.values()):
-        for t in texts:
-            rows += [(varied(_words(t.encode())), c) for _ in range(60)]
-    for shape in NOTICES:
+    for _ in range(-(-many // len(plain)) if plain else 0):  # a small corpus counts as much as the templates' variants
+        for w in plain:
+            own = window(w)
+            rows.append((own, len(CLASSES) - 1))
+            if rng.random() < 0.1:  # a word over and over
+                rows.append(([own[0]] * len(own), len(CLASSES) - 1))
+            if rng.random() < 0.3:  # ordinary prose may speak of licences
+                mixed = list(own)
+                for _ in range(int(rng.integers(1, 4))):
+                    mixed.insert(int(rng.integers(0, len(mixed) + 1)), legal[int(rng.integers(0, len(legal)))] if legal else b"licence")
+                rows.append((mixed, len(CLASSES) - 1))
+    for c, texts in templates.items():
+        rows += [(varied(_words(t)), c) for t in texts for _ in range(60)]
+    for shape in shapes:
         for _ in range(60):
             name = b" ".join(pool[i] for i in rng.integers(0, len(pool), 2)).decode("utf-8", "replace")
-            rows.append((varied(_words(shape.format(name, rng.integers(1, 9)).encode())), len(classes) - 2))
+            rows.append((varied(_words(shape.format(name, rng.integers(1, 9)))), len(CLASSES) - 2))
     order = rng.permutation(len(rows))
-    x = [_grams(word_hashes(rows[i][0]))[0] for i in order]  # with repeats, so that a window's score is a sum over its n-grams
-    y = np.array([rows[i][1] for i in order])
-    weights, bias, seen = np.zeros((1 << BITS, len(classes))), np.zeros(len(classes)), np.full((1 << BITS, 1), 1e-6)
-    cut = len(x) * 4 // 5
+    return [_features(rows[i][0]) for i in order], np.array([rows[i][1] for i in order], np.int64)
+
+
+def _fit(x: list[np.ndarray], y: np.ndarray, epochs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias by stochastic gradients with a rate for each gram."""
+    weights, bias, seen = np.zeros((1 << BITS, len(CLASSES))), np.zeros(len(CLASSES)), np.full((1 << BITS, 1), 1e-6)
     for _ in range(epochs):
-        for i in range(cut):
-            scale = 1 / np.sqrt(max(len(x[i]), 1))
-            s = weights[x[i]].sum(0) * scale + bias
-            p = np.exp(s - s.max())
-            p /= p.sum()
-            p[y[i]] -= 1
-            seen[x[i]] += scale * scale * (p @ p)
-            weights[x[i]] -= 0.3 * scale * p / np.sqrt(seen[x[i]])
+        for ids, c in zip(x, y, strict=True):
+            scale = 1 / np.sqrt(max(len(ids), 1))
+            p = _softmax((weights[ids].sum(0) * scale + bias)[None])[0]
+            p[c] -= 1
+            seen[ids] += scale * scale * (p @ p)
+            weights[ids] -= 0.3 * scale * p / np.sqrt(seen[ids])
             bias -= 0.02 * p
-    held = np.array([weights[v].sum(0) / np.sqrt(max(len(v), 1)) + bias for v in x[cut:]]).reshape(-1, len(classes))
-    loss = lambda t: -np.log(_softmax(held / t)[np.arange(len(held)), y[cut:]] + 1e-12).mean()
-    return Scanner(weights.astype(np.float32), bias, min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0), key=loss), classes)
+    return weights, bias
+
+
+def _calibrated(scores: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Temperature, and what to add to the score of "no licence", with the least loss on held-out texts."""
+    best = (np.inf, 1.0, 0.0)
+    for t in (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0):
+        for add in np.linspace(-4, 4, 33):
+            moved = scores.copy()
+            moved[:, -1] += add
+            best = min(best, (float(-np.log(_softmax(moved / t)[np.arange(len(y)), y] + 1e-12).mean()), t, float(add)))
+    return best[1], best[2]
+
+
+def fitted(lines: list[str | None], epochs: int = 5, seed: int = 11) -> Scanner:
+    """The scanner that these corpus lines (in a fixed order) and the templates give."""
+    rng = np.random.default_rng(seed)
+    shapes = [_pairs(_words(n.format("", ""))) for n in NOTICES]
+    notice = lambda w: any(len(x & _pairs(w)) >= 0.5 * len(x) for x in shapes) or any(confirmed(w, name, 0.5) for name in KNOWN)
+    corpus = [w for line in lines if (w := _words(line)) and not notice(w)]
+    kept, held, templates = [w for i, w in enumerate(corpus) if i % 5], corpus[::5], {c: list(t) for c, t in enumerate(TEMPLATES.values())}
+    x, y = _rows(kept, templates, NOTICES[:-2], rng, 1500)
+    weights, bias = _fit(x, y, epochs)
+    x, y = _rows(held, templates, NOTICES[-2:] * 4, rng, 800, 0.18)
+    scores = np.array([weights[ids].sum(0) / np.sqrt(max(len(ids), 1)) + bias for ids in x])
+    temperature, add = _calibrated(scores, y)
+    scores[:, -1] += add
+    accuracy = float(((scores.argmax(1) == len(CLASSES) - 1) == (y == len(CLASSES) - 1)).mean())  # licence or none
+    x, y = _rows(corpus, templates, NOTICES, rng, 1500)
+    weights, bias = _fit(x, y, epochs)
+    bias[-1] += add
+    return Scanner(weights.astype(np.float32), bias, temperature, list(CLASSES), accuracy)
+
+
+def train(docs: DataFrame, max_paragraphs: int = 4000) -> Scanner:
+    """Fit on a line of each of max_paragraphs documents, those with the smallest hashes; one task does it."""
+    texts = docs.where("text IS NOT NULL")
+    lines = texts.select(F.xxhash64(F.lit("licence"), "doc_id", "text").alias("order"), "doc_id", F.split("text", "\n", -1).alias("l"))
+    lines = smallest_hashes(lines, "order", texts.count(), max_paragraphs)
+    line = F.element_at("l", (F.pmod("order", F.size("l").cast("long")) + 1).cast("int"))
+    picked = lines.select("order", "doc_id", line.alias("line")).orderBy("order", "doc_id", "line").limit(max_paragraphs)
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        s = fitted(group.sort_values(["order", "doc_id", "line"])["line"].tolist())
+        return pd.DataFrame({"weights": [s.weights.tobytes()], "bias": [s.bias.tobytes()], "temperature": [s.temperature], "accuracy": [s.accuracy]})
+
+    got = picked.withColumn("all", F.lit("all")).groupBy("all").applyInPandas(fit, "weights binary, bias binary, temperature double, accuracy double").first()
+    if got is None:
+        return fitted([])
+    return Scanner(np.frombuffer(got["weights"], np.float32).reshape(-1, len(CLASSES)), np.frombuffer(got["bias"]), got["temperature"], list(CLASSES), got["accuracy"])
 
 
 def _windows(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,70 +276,91 @@ def _windows(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     out = []
     for n, (words, step) in enumerate(WINDOWS):
         # The longer windows of a paragraph that one of the shorter ones holds would be the same again.
-        pieces = np.where(size > 0, 1 + -(-np.maximum(size - words, 0) // step), 0) if n == 0 else np.where(size > WINDOWS[n - 1][0], 1 + -(-np.maximum(size - words, 0) // step), 0)
+        pieces = np.where(size > (WINDOWS[n - 1][0] if n else 0), 1 + -(-np.maximum(size - words, 0) // step), 0)
         of = np.repeat(np.arange(len(size)), pieces)
         at = first[of] + step * (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
         out.append((at, np.minimum(at + words, (first + size)[of]), of))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _bounds(margin: np.ndarray, h: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """For each window, sum of margin over its 1-, 2- and 3-grams divided by the root of their number: no licence's lead is larger."""
-    ids, _ = _grams(h)
-    n, total, count = len(h), np.zeros(len(at)), np.zeros(len(at), np.int64)
-    for k, begin in ((1, 0), (2, n), (3, 2 * n - 1)):
-        sums = np.concatenate([[0.0], np.cumsum(margin[ids[begin : begin + max(n - k + 1, 0)]], dtype=np.float64)])
-        many = np.maximum(end - at - k + 1, 0)
-        low = np.minimum(at, len(sums) - 1)
-        total += sums[np.minimum(low + many, len(sums) - 1)] - sums[low]
-        count += many
-    return total / np.sqrt(np.maximum(count, 1))
-
-
-def scan(docs: DataFrame, scanner: Scanner, likely: float = 0.7, contained: float = 0.8) -> DataFrame:
+@dataclass
+class _Batch:
+    """The words of some texts, laid end to end, with their paragraphs and windows."""
+
+    words: list[bytes]
+    hashes: np.ndarray
+    of_doc: np.ndarray  # paragraph -> text
+    at: np.ndarray
+    end: np.ndarray
+    of: np.ndarray  # window -> paragraph
+
+    @classmethod
+    def of_texts(cls, texts: Sequence[str | None]) -> _Batch:
+        words: list[bytes] = []
+        sizes: list[int] = []
+        lines: list[int] = []
+        for t in texts:
+            split = [line.split() for line in _cleaned(t).split(b"\n")]
+            sizes += map(len, split)
+            sizes.append(0)  # a text ends its last paragraph
+            lines.append(len(split) + 1)
+            for own in split:
+                words += own
+        by_line, h = np.array(sizes, np.int64), word_hashes(words)
+        line = np.repeat(np.arange(len(by_line)), by_line)
+        again = np.concatenate([[False], (h[1:] == h[:-1]) & (line[1:] == line[:-1])])[: len(h)]
+        if again.any():  # a word that follows itself counts once
+            words, h, by_line = list(compress(words, ~again)), h[~again], by_line - np.bincount(line[again], minlength=len(by_line))
+        starts = (by_line > 0) & (np.concatenate([[0], by_line[:-1]]) == 0)
+        of_line = np.cumsum(starts) - 1
+        of_doc = np.repeat(np.arange(len(texts)), lines)[starts]
+        size = np.bincount(of_line[by_line > 0], by_line[by_line > 0], len(of_doc)).astype(np.int64)
+        at, end, of = _windows(size)
+        alone = np.flatnonzero((by_line > 0) & (by_line <= WINDOWS[-1][0]) & (by_line < size[np.maximum(of_line, 0)] if len(size) else False))
+        stop = np.cumsum(by_line)[alone]  # a short notice on a line of its own
+        at, end, of = (np.concatenate(x) for x in ((at, stop - by_line[alone]), (end, stop), (of, of_line[alone])))
+        order = np.argsort(at, kind="stable")
+        return cls(words, h, of_doc, at[order], end[order], of[order])
+
+
+def scan(docs: DataFrame, scanner: Scanner, likely: float = 0.7, contained: float = 0.8, rows: int = 200) -> DataFrame:
     """doc_id, n_paragraphs, licences (confirmed families, sorted), n_confirmed, n_unknown, best (highest probability of a confirmed family)."""
     sent = docs.sparkSession.sparkContext.broadcast(scanner)
-    templates = {c: [_pairs(_words(t.encode())) for t in ts] for c, ts in TEMPLATES.items()}
+    names = ["doc_id", "n_paragraphs", "licences", "n_confirmed", "n_unknown", "best"]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s: Scanner = sent.value
-        none = len(s.classes) - 1
-        margin = np.delete(s.weights - s.weights[:, none:], none, axis=1).max(1)  # how far a gram can speak for any licence
-        lead = (s.bias[:none] - s.bias[none]).max()
-        # p[none] <= 1 - likely needs the other classes' exp(score - none's score) to sum to likely / (1 - likely).
-        least = np.log(likely / (1 - likely) / none) * s.temperature - 1e-3
-        for b in batches:
-            out = []
-            for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                lines = (t.as_py() or "").encode("utf-8", "surrogatepass").translate(_CLEAN).split(b"\n")
-                found, confirmed, unknown, best = set(), 0, 0, 0.0
-                split = [[w for w in (x.strip(b".-") for x in line.split()) if w] for line in lines]
-                words = [w for line in split for w in line]
-                by_line = np.array([len(w) for w in split])
-                starts = (by_line > 0) & (np.concatenate([[0], by_line[:-1]]) == 0)
-                size = np.bincount(np.cumsum(starts), by_line, int(starts.sum()) + 1).astype(np.int64)[1:]
-                if words:
-                    at, end, of = _windows(size)
-                    alone = np.flatnonzero((by_line > 0) & (by_line <= WINDOWS[-1][0]))  # a short notice on a line of its own
-                    at, end, of = (np.concatenate(x) for x in zip((at, end, of), ((np.cumsum(by_line) - by_line)[alone], np.cumsum(by_line)[alone], np.cumsum(starts)[alone] - 1), strict=True))
-                    speak = np.flatnonzero(_bounds(margin, word_hashes(words), at, end) + lead >= least)
-                    sure, likely_ones = set(), set()
-                    for i in speak:
-                        part = words[at[i] : end[i]]
-                        p = s.probabilities(part)
-                        if p[none] > 1 - likely:
-                            continue
-                        likely_ones.add(of[i])
-                        pairs = _pairs(part)
-                        ok = [(p[c], name) for c, name in enumerate(s.classes[:-2]) if p[c] >= likely / 2 and any(len(x & pairs) >= contained * len(x) for x in templates[name])]
-                        if ok:
-                            sure.add(of[i])
-                            found.add(max(ok)[1])
-                            best = max(best, float(max(ok)[0]))
-                    confirmed, unknown = len(sure), len(likely_ones - sure)
-                out.append((d, max(len(size), 1), sorted(found), confirmed, unknown, best))
-            if out:
-                kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_paragraphs", "licences", "n_confirmed", "n_unknown", "best"])
+        for whole in batches:
+            for a in range(0, whole.num_rows, rows):
+                b = whole.slice(a, rows)
+                of_docs = scanned(s, b.column(1).to_pylist(), likely, contained)
+                yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(zip(*of_docs, strict=True), kinds[1:], strict=True))], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_paragraphs long, licences array<string>, n_confirmed long, n_unknown long, best double")
+
+
+def scanned(s: Scanner, texts: Sequence[str | None], likely: float, contained: float) -> list[tuple[int, list[str], int, int, float]]:
+    """n_paragraphs, licences, n_confirmed, n_unknown, best of each text."""
+    x = _Batch.of_texts(texts)
+    found: list[set[str]] = [set() for _ in texts]
+    best, sure, likely_ones = [0.0] * len(texts), set(), set()
+    if x.words:
+        scores = s.scores(x.hashes, x.at, x.end)
+        others = len(s.classes) - 1
+        # The other classes' exp(score - none's score) must sum to likely / (1 - likely): one of them to its share at least.
+        near = np.flatnonzero((scores[:, :-1].max(1) - scores[:, -1]) >= np.log(likely / (1 - likely) / others) - 1e-9)
+        for i, p in zip(near.tolist(), _softmax(scores[near]), strict=True):
+            if p[-1] > 1 - likely:
+                continue
+            likely_ones.add(int(x.of[i]))
+            part = x.words[x.at[i] : x.end[i]]
+            ok = [(float(p[c]), name) for c, name in enumerate(s.classes[:-2]) if p[c] >= likely / 2 and confirmed(part, name, contained)]
+            if ok:
+                d = int(x.of_doc[x.of[i]])
+                sure.add(int(x.of[i]))
+                found[d].add(max(ok)[1])
+                best[d] = max(best[d], max(ok)[0])
+    count = lambda paragraphs: np.bincount(x.of_doc[sorted(paragraphs)], minlength=len(texts)) if paragraphs else np.zeros(len(texts), np.int64)
+    held, n_sure, n_unknown = np.bincount(x.of_doc, minlength=len(texts)), count(sure), count(likely_ones - sure)
+    return [(max(int(held[d]), 1), sorted(found[d]), int(n_sure[d]), int(n_unknown[d]), best[d]) for d in range(len(texts))]
