@@ -2,11 +2,15 @@
 
 1. toxicity: documents that score 0.7 or more go.
 2. line dedup: lines of 40 or more code points in 5 or more documents stay in the largest doc_id alone.
-3. MinHash near-dedup: the smallest doc_id of each near-duplicate class stays.
+3. MinHash near-dedup: one row of each near-duplicate class stays, that of the smallest doc_id.
 4. mixing: sources are drawn down or repeated towards their target weights; a row for each copy.
 5. packing: the copies' token ids in sequences of at most 2048.
 
-No SQL states the first, third and last stage; tests compare each with a brute-force version.
+No SQL states the first, third and last stage; tests compare every stage's rows with a brute-force version.
+
+Cases, the same in all stages: null and empty texts stay through the first three stages and end at the mixing, which takes words;
+repeated rows are rows of their own until near-dedup leaves one; rows without doc_id pass near-dedup as they are and pack like others;
+columns beyond COLUMNS are dropped by the first stage, whatever their names; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -17,21 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagia.llm import line_dedup, mixing, near_dups, packing, toxicity
-from pelagia.llm.common import staged
+from pelagia.llm.common import Scratch, held, release
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 REJECT = 0.7
 
 
-def _small_batches(spark: SparkSession) -> None:
-    """Long texts go to Python a thousand rows at a time, which bounds what a worker holds."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity is under REJECT.  The model learns from the labels of two thirds of the documents."""
-    _small_batches(spark)
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
     return toxicity.scored(docs.select(*COLUMNS), model).where(F.col("score") < REJECT).select(*COLUMNS)
@@ -44,10 +41,16 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest doc_id; rows without doc_id stay."""
-    _small_batches(spark)
-    gone = near_dups.near_duplicate_classes(docs.select("doc_id", "text")).where("class_id <> doc_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    """One row of each class of near duplicates, that of the smallest doc_id (repeated rows of it count once); rows without doc_id stay."""
+    docs = docs.select(*COLUMNS)
+    key = ["doc_id", F.xxhash64("text").alias("text_hash")]
+    classes = near_dups.near_duplicate_classes(docs.select("doc_id", "text"))
+    told = classes.groupBy("doc_id", "text_hash").agg(F.bool_and("is_first").alias("is_first"), F.count("*").alias("n")).where("NOT is_first OR n > 1")
+    kept = docs.select("*", key[1]).join(told, ["doc_id", "text_hash"], "left").where("is_first IS NULL OR is_first")
+    if told.where("is_first AND n > 1").limit(1).count() == 0:
+        return kept.select(*COLUMNS)
+    again = kept.where("n > 1").dropDuplicates(["doc_id", "text_hash"])
+    return kept.where("n IS NULL").select(*COLUMNS).unionByName(again.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +63,6 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """A row for each piece of each sequence."""
     import public_tokenizers
 
-    _small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -76,8 +78,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each stage's rows written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+    """All stages over documents, each stage's rows written and read again; what a stage staged for itself is deleted after it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = spark.conf.get(batch)
+    spark.conf.set(batch, min(int(rows), 1000))  # long texts go to Python a thousand at a time, which bounds what a worker holds
+    try:
+        for name, stage in STAGES[:-1]:
+            mark, own = held(), Scratch(spark)
+            docs = own.staged(stage(spark, docs, sf_dir), name)
+            release(mark)
+            before.close()
+            before = own
+    finally:
+        spark.conf.set(batch, rows)
+    before.keep()  # the last stage reads it
     return STAGES[-1][1](spark, docs, sf_dir)
