@@ -23,6 +23,20 @@ def monthly_mean(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cells.groupBy(*keys, month.alias("month")).agg(F.avg("value").alias("value"))
 
 
+def as_monthly(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Monthly values of series that are daily or monthly already, by how many times their months hold.
+
+    A month with one time is taken as it is; one with 28 or more is averaged; anything between is neither, and an error.
+    """
+    month = F.trunc(F.col("time").cast("date"), "month")
+    times = cells.select(*keys, month.alias("month"), F.to_date("time").alias("_day")).distinct().groupBy(*keys, "month").agg(F.count("*").alias("_days"))
+    kinds = times.groupBy(*keys).agg(F.max("_days").alias("_most"))
+    kinds = kinds.withColumn("_kind", F.when(F.col("_most") == 1, "monthly").when(F.col("_most") >= 28, "daily").otherwise(F.raise_error(F.lit("a series is neither daily nor monthly"))))
+    places = [c for c in cells.columns if c not in (*keys, "time", "value")]
+    means = cells.groupBy(*keys, *places, month.alias("time")).agg(F.avg("value").alias("value"))
+    return means.join(kinds.select(*keys, F.col("_kind").alias("source_step")), list(keys))
+
+
 def in_windows(cells: DataFrame, windows: DataFrame) -> DataFrame:
     """A row for each window that a time falls in: windows may overlap.  windows: window, start, end (dates, both inclusive)."""
     return cells.join(F.broadcast(windows), F.col("time").cast("date").between(F.col("start"), F.col("end"))).drop("start", "end")
@@ -33,6 +47,23 @@ def climatology(cells: DataFrame, windows: DataFrame, keys: Sequence[str]) -> Da
     return in_windows(cells, windows).groupBy(*keys, "window").agg(F.avg("value").alias("value"))
 
 
+def window_means(cells: DataFrame, windows: Sequence[tuple[str, str, str]], keys: Sequence[str]) -> DataFrame:
+    """Climatologies of several windows (name, first day, last day) side by side, in one pass: a column of means for each window, and
+    <name>_rows, how many rows it had there.  Windows may overlap."""
+    day = F.col("time").cast("date")
+    aggs = []
+    for name, start, end in windows:
+        inside = day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+        aggs += [F.avg(F.when(inside, F.col("value"))).alias(name), F.count_if(inside).alias(f"{name}_rows")]
+    return cells.groupBy(*keys).agg(*aggs)
+
+
+def change(future: Column, base: Column, mode: str | Column = "additive") -> Column:
+    """future minus base, or the logarithm of their ratio where both are positive; missing where either is missing."""
+    how = F.lit(mode) if isinstance(mode, str) else mode
+    return F.when(how == "log_ratio", F.when((future > 0) & (base > 0), F.log(future) - F.log(base))).otherwise(future - base)
+
+
 def month_counts(cells: DataFrame, windows: DataFrame, keys: Sequence[str], expected: DataFrame) -> DataFrame:
     """Months found in each window against those expected (window, expected); nothing is dropped."""
     months = in_windows(cells, windows).groupBy(*keys, "window").agg(F.count_distinct(F.date_format("time", "yyyyMM")).alias("months"))
@@ -48,9 +79,7 @@ def prefer_whole(series: DataFrame, keys: Sequence[str], rank: Column) -> DataFr
 
 def change_field(future: DataFrame, base: DataFrame, keys: Sequence[str], mode: str | Column = "additive", variable: str = "variable") -> DataFrame:
     """future minus baseline, or the logarithm of their ratio where both are positive; missing where either is missing."""
-    f, b = F.col("f.value"), F.col("b.value")
-    how = F.lit(mode) if isinstance(mode, str) else mode
-    delta = F.when(how == "log_ratio", F.when((f > 0) & (b > 0), F.log(f) - F.log(b))).otherwise(f - b)
+    delta = change(F.col("f.value"), F.col("b.value"), mode)
     joined = future.alias("f").join(base.select(*keys, "value").alias("b"), list(keys))
     return joined.select(*[F.col(f"f.{c}") if c not in keys else F.col(c) for c in future.columns if c != "value"], delta.alias("value"))
 
@@ -82,6 +111,19 @@ def clamp(cells: DataFrame, bounds: dict[str, tuple[float | None, float | None]]
     return cells.withColumns({"value": F.when(v.isNotNull(), F.least(F.greatest(v, low), high)), "clipped": side})
 
 
+def paired(future: DataFrame, base: DataFrame, keys: Sequence[str], windows: DataFrame, member: str = "member") -> DataFrame:
+    """Groups of the future with what they lack: keys, member, window, status.
+
+    windows: keys, window, n_files of each group's windows that were asked for.  Statuses, the first that holds: no_baseline;
+    member_mismatch (the baseline has other members only); no_file (nothing in that window); ok.
+    """
+    own = future.select(*keys, member).distinct()
+    held = base.select(*keys, member).distinct().groupBy(*keys).agg(F.collect_set(member).alias("_members"))
+    rows = own.join(held, list(keys), "left").join(windows, list(keys), "left")
+    status = F.when(F.col("_members").isNull(), "no_baseline").when(~F.array_contains("_members", F.col(member)), "member_mismatch").when(F.coalesce("n_files", F.lit(0)) == 0, "no_file").otherwise("ok")
+    return rows.withColumn("status", status).drop("_members")
+
+
 def missing_pairs(future: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Groups of the future without a baseline."""
     return future.select(*keys).distinct().join(base.select(*keys).distinct(), list(keys), "left_anti")

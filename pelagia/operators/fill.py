@@ -196,34 +196,61 @@ def fill_fallback(cells: DataFrame, constant: float = 0.0) -> DataFrame:
     return cells.withColumn("fallback", mark).withColumn("value", F.when(F.col("fallback"), F.lit(constant)).otherwise(F.col("value")))
 
 
-def nearest_any_donor(cells: DataFrame, slice_keys: Sequence[str], steps: int = 8) -> DataFrame:
+def _near_tiles(pending: DataFrame, donors: DataFrame, slice_keys: Sequence[str], tiles: Sequence[int]) -> DataFrame:
+    """slice_keys, _pv, _pu, _dv, _du: for each tile of pending cells the tiles that may hold the nearest donor of one of them.
+
+    Sizes go from coarse to fine.  A tile with donors has one within the distance of the two tiles' farthest corners; tiles whose
+    nearest corners are beyond the least of those distances are out, and so are the finer tiles inside them.
+    """
+    before, out = 0, None
+    for t in tiles:
+        at = lambda c, n=t: F.floor(F.col(c) / n).cast("int")
+        p = pending.select(*slice_keys, at("iy").alias("_pv"), at("ix").alias("_pu")).distinct()
+        d = donors.select(*slice_keys, at("iy").alias("_dv"), at("ix").alias("_du")).distinct()
+        if out is None:
+            pairs = p.join(d, list(slice_keys))
+        else:
+            up = lambda c, n=before // t: F.floor(F.col(c) / n).cast("int")
+            wide = out.select(*slice_keys, *[F.col(c).alias(f"_up{c}") for c in ("_pv", "_pu", "_dv", "_du")])
+            p = p.withColumns({"_up_pv": up("_pv"), "_up_pu": up("_pu")})
+            d = d.withColumns({"_up_dv": up("_dv"), "_up_du": up("_du")})
+            pairs = p.join(wide, [*slice_keys, "_up_pv", "_up_pu"]).join(d, [*slice_keys, "_up_dv", "_up_du"]).select(*slice_keys, "_pv", "_pu", "_dv", "_du")
+        steps = [F.abs(F.col("_pv") - F.col("_dv")).cast("long"), F.abs(F.col("_pu") - F.col("_du")).cast("long")]
+        near = sum((F.when(n > 0, (n - 1) * t + 1).otherwise(0) * F.when(n > 0, (n - 1) * t + 1).otherwise(0) for n in steps), F.lit(0))
+        far = sum((((n + 1) * t - 1) * ((n + 1) * t - 1) for n in steps), F.lit(0))
+        bound = F.min("_far").over(W.partitionBy(*slice_keys, "_pv", "_pu"))
+        out, before = pairs.withColumns({"_near": near, "_far": far}).withColumn("_bound", bound).where("_near <= _bound").select(*slice_keys, "_pv", "_pu", "_dv", "_du"), t
+    return out
+
+
+def nearest_any_donor(cells: DataFrame, slice_keys: Sequence[str], tiles: Sequence[int] = (512, 32), strict: bool = True) -> DataFrame:
     """Wet cells that still have no value take the nearest finite cell's, wet or not, by (distance, iy, ix).
 
-    A square of `steps` is searched and doubled for the cells whose best donor may lie outside; slices without any finite cell
-    keep their gaps.  The pending side holds few rows: what all other fills have left.
+    Only tiles that may hold the nearest donor are searched (each size divides the one before).  A slice without any finite cell is an
+    error; with strict off it keeps its gaps.  The pending side holds few rows: what all other fills have left.
     """
-    spark, key = cells.sparkSession, [*slice_keys, *SQUARE]
-    cells = checkpointed(cells)  # each round reads it again
-    pending, donors = cells.where("wet AND value IS NULL"), cells.where("value IS NOT NULL")
-    ends = cells.agg(F.max("iy") - F.min("iy"), F.max("ix") - F.min("ix")).first()
-    reach = max(ends[0] or 0, ends[1] or 0)
-    found, r = None, steps
-    left = checkpointed(pending.join(donors.select(*slice_keys).distinct(), list(slice_keys), "left_semi"))
-    while True:
-        near = _donors(left, donors, slice_keys, offsets(spark, r, 1.0))
-        best = near.groupBy(*key).agg(F.min_by("donor", F.struct("d2", "_y", "_x")).alias("fill"), F.min("d2").alias("d2"))
-        # A donor farther along an axis than r can't be nearer than r; at the reach of the grid all have been seen.
-        sure = checkpointed((best if r >= reach else best.where(F.col("d2") <= r * r)).drop("d2"))
-        found = sure if found is None else found.unionByName(sure)
-        left = checkpointed(left.join(sure, key, "left_anti"))
-        if r >= reach or left.limit(1).count() == 0:
-            break
-        r = min(2 * r, reach)
-    both = cells.join(found, key, "left")
-    return both.withColumn("nearest", F.col("wet") & F.col("value").isNull() & F.col("fill").isNotNull()).withColumn("value", F.coalesce("value", F.when(F.col("wet"), F.col("fill")))).drop("fill")
+    key, t = [*slice_keys, *SQUARE], tiles[-1]
+    cells = checkpointed(cells)  # tiles, donors and the result read it
+    pending, donors = cells.where("wet AND value IS NULL").select(*key), cells.where("value IS NOT NULL")
+    at = lambda c: F.floor(F.col(c) / t).cast("int")
+    there = donors.select(*slice_keys, at("iy").alias("_dv"), at("ix").alias("_du"), F.col("iy").alias("_y"), F.col("ix").alias("_x"), F.col("value").alias("donor"))
+    asks = pending.withColumns({"_pv": at("iy"), "_pu": at("ix")}).join(_near_tiles(pending, donors, slice_keys, tiles), [*slice_keys, "_pv", "_pu"])
+    dy, dx = (F.col("_y") - F.col("iy")).cast("long"), (F.col("_x") - F.col("ix")).cast("long")
+    found = asks.join(there, [*slice_keys, "_dv", "_du"]).groupBy(*key).agg(F.min_by("donor", F.struct(dy * dy + dx * dx, "_y", "_x")).alias("fill"))
+    both = cells.join(found, key, "left").withColumn("nearest", F.col("wet") & F.col("value").isNull() & F.col("fill").isNotNull())
+    none = F.col("wet") & F.col("value").isNull() & F.col("fill").isNull()
+    fill = F.when(none, F.raise_error(F.lit("a slice has no finite cell at all")).cast("double")).otherwise(F.col("fill")) if strict else F.col("fill")
+    return both.withColumn("value", F.coalesce("value", F.when(F.col("wet"), fill))).drop("fill")
 
 
 def fill_report(cells: DataFrame, keys: Sequence[str], flags: Sequence[str]) -> DataFrame:
     """For each dataset the cells that each flag marks, valid and missing wet cells."""
     counts = [F.count_if(F.col(f)).alias(f"n_{f}") for f in flags]
     return cells.groupBy(*keys).agg(F.count("*").alias("cells"), F.count_if("wet").alias("wet_cells"), F.count("value").alias("valid"), F.count_if(F.col("wet") & F.col("value").isNull()).alias("remaining"), *counts)
+
+
+def review_report(product: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For each dataset of a downscaled product: cells by how their anomaly came about, cells that a bound cut, and those without a value."""
+    kinds = [F.count_if(F.col("fill_kind") == k).alias(f"n_{k}") for k in ("filled", "top", "forced", "fallback")]
+    sides = [F.count_if(F.col("clipped") == k).alias(f"n_{k}") for k in ("below", "above")]
+    return product.groupBy(*keys).agg(F.count("*").alias("cells"), F.count("value").alias("valid"), *kinds, *sides)

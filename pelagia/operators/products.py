@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pelagia.functions.fields import depth_token, encoded, encoded_dtype
+from pelagia.functions.fields import csv_safe, depth_token, encoded, encoded_dtype
+from pelagia.staging import checkpointed
 
 
 def export_table(cells: DataFrame, provenance: Sequence[str], depth: Column, name: str, drop_missing: bool = True) -> DataFrame:
@@ -18,9 +19,14 @@ def export_table(cells: DataFrame, provenance: Sequence[str], depth: Column, nam
 
 
 def write_export(table: DataFrame, path: str, provenance: Sequence[str], kind: str = "parquet", overwrite: bool = False) -> None:
-    """One partition folder for each dataset; overwrite replaces only the partitions that table has."""
+    """One partition folder for each dataset; overwrite replaces only the partitions that table has.
+
+    In CSV every text is quoted, and line breaks inside one become blanks.
+    """
+    if kind == "csv":
+        table = table.withColumns({c: csv_safe(F.col(c)) for c, t in table.dtypes if t == "string" and c not in provenance})
     out = table.write.partitionBy(*provenance).mode("overwrite" if overwrite else "append").option("partitionOverwriteMode", "dynamic")
-    out.option("header", True).csv(path) if kind == "csv" else out.parquet(path)
+    out.option("header", True).option("quoteAll", True).csv(path) if kind == "csv" else out.parquet(path)
 
 
 def not_done(wanted: DataFrame, existing: DataFrame, keys: Sequence[str], overwrite: bool = False) -> DataFrame:
@@ -47,13 +53,21 @@ def encode_manifest(coded: DataFrame, dataset: Sequence[str]) -> DataFrame:
     return coded.groupBy(*dataset, "scale_factor", "encoded_dtype", "nodata").agg(F.lit(0).alias("offset"), F.min(real).alias("min_real"), F.max(real).alias("max_real"), F.min(stored).alias("min_encoded"), F.max(stored).alias("max_encoded"))
 
 
+def numbered(rows: DataFrame, by: str, name: str) -> DataFrame:
+    """rows with their place by a column, from 1: ranges of it are numbered side by side, each from where the one before ends."""
+    parts = checkpointed(rows.repartitionByRange(by).withColumn("_range", F.spark_partition_id()))  # the ranges must not be drawn twice
+    counts = parts.groupBy("_range").agg(F.count("*").alias("_count"))
+    ahead = counts.withColumn("_ahead", F.sum("_count").over(W.orderBy("_range")) - F.col("_count"))  # a row a range
+    within = F.row_number().over(W.partitionBy("_range").orderBy(by))
+    return parts.join(F.broadcast(ahead.drop("_count")), "_range").withColumn(name, (within + F.col("_ahead")).cast("int")).drop("_range", "_ahead")
+
+
 def merge_manifests(old: DataFrame, new: DataFrame, key: Column, position: str = "pos") -> DataFrame:
     """The union of both with all columns of either; a key of both keeps its new row, in the place it had first."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True).withColumn("_key", key)
     w = W.partitionBy("_key")
     ranked = both.withColumns({"_rank": F.row_number().over(w.orderBy(F.desc("_new"), F.desc(position))), "_first": F.min(F.struct("_new", position)).over(w)})
-    order = F.row_number().over(W.orderBy("_first"))  # a manifest has a row a file; its order is global by definition
-    return ranked.where("_rank = 1").withColumn("order", order).drop("_new", "_key", "_rank", "_first", position)
+    return numbered(ranked.where("_rank = 1"), "_first", "order").drop("_new", "_key", "_rank", "_first", position)
 
 
 def preferred(sources: DataFrame, key: Sequence[str], rank: Column, order: Sequence[str]) -> DataFrame:

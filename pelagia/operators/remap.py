@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pelagia.staging import checkpointed
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -67,25 +69,43 @@ def _point(lat: str, lon: str) -> list[Column]:
     return [(F.cos(a) * F.cos(b)), (F.cos(a) * F.sin(b)), F.sin(a)]
 
 
-def distance_weights(source: DataFrame, target: DataFrame, tile: float, k: int = 4) -> DataFrame:
-    """The k nearest source cells (iy, ix, lat, lon; any grid) of each target cell, weighted by 1 / distance on the sphere.
-
-    Candidates come from boxes of `tile` degrees of the unit cube around the sphere: a target meets the sources of its own and the
-    neighbouring boxes, so poles and the date line need no care.  The k-th neighbour must lie within one box's width: choose
-    tile no smaller than a few source steps.  A source at the very place takes all the weight.
-    """
-    side = 2 * 3.141592653589793 / 360 * tile
+def _nearest_in_boxes(source: DataFrame, target: DataFrame, side: float, k: int) -> DataFrame:
+    """The k nearest sources of each target among those in its own and the neighbouring boxes, with their distances d and ranks."""
     box = lambda c: F.floor(F.col(c) / side).cast("int")
-    s = source.select(F.col("iy").alias("src_iy"), F.col("ix").alias("src_ix"), *[c.alias(f"s{n}") for n, c in zip("xyz", _point("lat", "lon"), strict=True)])
-    s = s.withColumns({f"b{n}": box(f"s{n}") for n in "xyz"})
-    t = target.select(F.col("iy").alias("dst_iy"), F.col("ix").alias("dst_ix"), *[c.alias(f"t{n}") for n, c in zip("xyz", _point("lat", "lon"), strict=True)])
-    t = t.withColumns({f"c{n}": box(f"t{n}") for n in "xyz"})
+    s = source.withColumns({f"b{n}": box(f"s{n}") for n in "xyz"})
+    t = target.withColumns({f"c{n}": box(f"t{n}") for n in "xyz"})
     for n in "xyz":
         t = t.withColumn(f"b{n}", F.explode(F.sequence(F.col(f"c{n}") - 1, F.col(f"c{n}") + 1)))
     d2 = sum(((F.col(f"t{n}") - F.col(f"s{n}")) * (F.col(f"t{n}") - F.col(f"s{n}")) for n in "xyz"), F.lit(0.0))
     near = t.join(s, ["bx", "by", "bz"]).withColumn("d", F.sqrt(d2))
     order = W.partitionBy("dst_iy", "dst_ix").orderBy(F.round("d", 12), "src_iy", "src_ix")
     best = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.select("dst_iy", "dst_ix", "src_iy", "src_ix", "d", "rank")
+
+
+def distance_weights(source: DataFrame, target: DataFrame, tile: float, k: int = 4) -> DataFrame:
+    """The k nearest source cells (iy, ix, lat, lon; any grid) of each target cell, weighted by 1 / distance on the sphere.
+
+    Candidates come from boxes of `tile` degrees of the unit cube around the sphere: a target meets the sources of its own and the
+    neighbouring boxes, so poles and the date line need no care.  A target with fewer than k sources within one box's width is searched
+    again with boxes twice as wide; a few source steps are a good tile.  A source at the very place takes all the weight.
+    """
+    side = 2 * 3.141592653589793 / 360 * tile
+    s = source.select(F.col("iy").alias("src_iy"), F.col("ix").alias("src_ix"), *[c.alias(f"s{n}") for n, c in zip("xyz", _point("lat", "lon"), strict=True)])
+    left = target.select(F.col("iy").alias("dst_iy"), F.col("ix").alias("dst_ix"), *[c.alias(f"t{n}") for n, c in zip("xyz", _point("lat", "lon"), strict=True)])
+    best = None
+    while True:
+        near = checkpointed(_nearest_in_boxes(s, left, side, k))
+        # What lies outside the boxes is farther than their width; two widths span the sphere.
+        sure = near.groupBy("dst_iy", "dst_ix").agg(F.count("*").alias("n"), F.max("d").alias("_most")).where(F.lit(side >= 2) | ((F.col("n") == k) & (F.col("_most") <= side)))
+        held = near.join(sure.select("dst_iy", "dst_ix"), ["dst_iy", "dst_ix"], "left_semi")
+        best = held if best is None else best.unionByName(held)
+        if side >= 2:
+            break
+        left = checkpointed(left.join(sure.select("dst_iy", "dst_ix"), ["dst_iy", "dst_ix"], "left_anti"))
+        if left.limit(1).count() == 0:
+            break
+        side *= 2
     exact = F.min("d").over(W.partitionBy("dst_iy", "dst_ix")) < 1e-12
     weight = F.when(exact, F.when(F.col("rank") == 1, 1.0).otherwise(0.0)).otherwise(1 / F.col("d"))
     return best.withColumn("w", weight).where("w > 0").select("dst_iy", "dst_ix", "src_iy", "src_ix", "w")

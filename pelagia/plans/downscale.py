@@ -48,7 +48,7 @@ def downscale(
         wet = coastal_fill(wet, ["variable", "iz"], method, max_steps, power, min_donors).drop("filled").withColumn("wet", F.col("wet") | F.col("value").isNotNull())
     every = wet.crossJoin(F.broadcast(anomaly.select(*members).distinct())) if members else wet  # a row a member, not a cell
     key = [*members, *cell]
-    domain = every.select(*key, "wet").join(anomaly.select(*key, "value"), key, "left")
+    domain = checkpointed(every.select(*key, "wet").join(anomaly.select(*key, "value"), key, "left"))  # each round of the fill reads it
     filled = coastal_fill(domain, [*members, "variable", "iz"], method, max_steps, power, min_donors)
     filled = fill_top(filled, [*members, "variable", *SQUARE])
     kind = F.when(F.col("filled"), "filled").when(F.col("filled_top"), "top")
@@ -58,7 +58,7 @@ def downscale(
     if fallback is not None:
         filled = fill_fallback(filled.withColumn("_kind2", kind), fallback)
         kind = F.when(F.col("fallback"), "fallback").otherwise(F.col("_kind2"))
-    reviewed = filled.withColumn("fill_kind", kind).select(*key, "value", "fill_kind")
+    reviewed = checkpointed(filled.withColumn("fill_kind", kind).select(*key, "value", "fill_kind"))  # applied, and kept for review
     out = apply_delta(every, reviewed, key, mode, scale)
     out = fill_top(out, [*members, "variable", *SQUARE])
     out = clamp(out, bounds or {})

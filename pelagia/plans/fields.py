@@ -34,9 +34,21 @@ def _clim(spark: SparkSession, sf_dir: str, variable: str, window: str) -> DataF
     return climate.climatology(fix.series(spark, sf_dir, variable), w, PLACE).drop("window")
 
 
+def _wide(spark: SparkSession, sf_dir: str, variable: str = "thetao") -> DataFrame:
+    """The climatologies hist and futB of a variable, side by side: one scan, one shuffle."""
+    return climate.window_means(fix.series(spark, sf_dir, variable), [w for w in fix.WINDOWS if w[0] in ("hist", "futB")], PLACE)
+
+
+def _base(wide: DataFrame) -> DataFrame:
+    return wide.where("hist_rows > 0").select(*PLACE, F.col("hist").alias("value"))
+
+
+def _change(wide: DataFrame, mode: str = "additive", base: str = "hist") -> DataFrame:
+    return wide.where("hist_rows > 0 AND futB_rows > 0").select(*PLACE, climate.change(F.col("futB"), F.col(base), mode).alias("value"))
+
+
 def _delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f, b = _clim(spark, sf_dir, "thetao", "futB"), _clim(spark, sf_dir, "thetao", "hist")
-    return climate.change_field(f, b, CELL)
+    return _change(_wide(spark, sf_dir))
 
 
 def _grid(spark: SparkSession) -> DataFrame:
@@ -142,18 +154,16 @@ def delta_additive(spark, sf_dir):
 
 @query(f"WITH {G} SELECT f.iz, f.iy, f.ix, round(CASE WHEN f.chl > 0 AND b.chl > 0 THEN ln(f.chl) - ln(b.chl) END, 6) AS value FROM fut f JOIN base b USING (iz, iy, ix)")
 def delta_log_ratio(spark, sf_dir):
-    f, b = _clim(spark, sf_dir, "chl", "futB"), _clim(spark, sf_dir, "chl", "hist")
-    return climate.change_field(f, b, CELL, "log_ratio").select(*CELL, r6())
+    return _change(_wide(spark, sf_dir, "chl"), "log_ratio").select(*CELL, r6())
 
 
 @query(f"""WITH {G}, a AS (SELECT b.iz, b.iy, b.ix, b.thetao + 0.01 * gap.v AS add_value FROM base b LEFT JOIN gap USING (iz, iy, ix)),
   l AS (SELECT b.iz, b.iy, b.ix, CASE WHEN b.chl > 0 THEN b.chl * exp(CASE WHEN f.chl > 0 AND b.chl > 0 THEN ln(f.chl) - ln(b.chl) END) END AS log_value FROM base b LEFT JOIN fut f USING (iz, iy, ix))
   SELECT iz, iy, ix, round(add_value, 6) AS additive, round(ln(log_value), 6) AS log_ratio FROM a JOIN l USING (iz, iy, ix)""")
 def apply_delta(spark, sf_dir):
-    base, chl = _clim(spark, sf_dir, "thetao", "hist"), _clim(spark, sf_dir, "chl", "hist")
-    add = climate.apply_delta(base, fix.with_gaps(_delta(spark, sf_dir)), CELL, "additive", 0.01)
-    ratio = climate.change_field(_clim(spark, sf_dir, "chl", "futB"), chl, CELL, "log_ratio")
-    log = climate.apply_delta(chl, ratio, CELL, "log_ratio")
+    wide, chl = (checkpointed(_wide(spark, sf_dir, v)) for v in ("thetao", "chl"))
+    add = climate.apply_delta(_base(wide), fix.with_gaps(_change(wide)), CELL, "additive", 0.01)
+    log = climate.apply_delta(_base(chl), _change(chl, "log_ratio"), CELL, "log_ratio")
     return add.select(*CELL, r6("value", "additive")).join(log.select(*CELL, F.round(F.log("value"), 6).alias("log_ratio")), CELL)
 
 
@@ -195,8 +205,10 @@ mid AS (SELECT iz, depth, (lag(depth) OVER (ORDER BY iz) + depth) / 2 AS up, (de
 layers AS (SELECT iz, depth, coalesce(up, greatest(0, depth - (down - depth))) AS lower, coalesce(down, depth + (depth - up)) AS upper FROM mid)"""
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return columns.layer_bounds(fix.series(spark, sf_dir).select(F.lit("fixture").alias("axis_id"), "iz", "depth").distinct())
+def _layers(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
+    """Layer bounds of the levels that occur in cells, the whole series where none are given."""
+    cells = fix.series(spark, sf_dir) if cells is None else cells
+    return columns.layer_bounds(cells.select(F.lit("fixture").alias("axis_id"), "iz", "depth").distinct())
 
 
 @query(f"WITH {G}, {LAYERS} SELECT iz, depth, round(lower, 6) AS lower, round(upper, 6) AS upper, round(upper - lower, 6) AS thickness, 'midpoints' AS bounds_source FROM layers")
@@ -212,9 +224,9 @@ def _bins_sql(bins) -> str:
 
 
 def _binned(spark, sf_dir, bins):
-    cells = fix.with_top_gap(_clim(spark, sf_dir, "thetao", "hist"))
+    wide = checkpointed(_wide(spark, sf_dir))
     table = spark.createDataFrame(list(bins), "label string, lower double, upper double")
-    return columns.depth_bins(cells, _layers(spark, sf_dir), table, ["iy", "ix"]).select("label", "iy", "ix", r6(), "levels", "method")
+    return columns.depth_bins(fix.with_top_gap(_base(wide)), _layers(spark, sf_dir, wide), table, ["iy", "ix"]).select("label", "iy", "ix", r6(), "levels", "method")
 
 
 @query(_bins_sql(FINE_BINS))
@@ -302,9 +314,9 @@ def force_complete(spark, sf_dir):
 
 
 def _downscaled(spark, sf_dir):
-    base = fix.with_top_gap(_clim(spark, sf_dir, "thetao", "hist"))
+    wide = checkpointed(_wide(spark, sf_dir))
     mask = _grid(spark).where(MASK).withColumn("value", F.lit(1.0))
-    return run_downscale(base, fix.with_gaps(_delta(spark, sf_dir)), mask=mask, scale=0.5, fallback=0.0, bounds={"thetao": (None, 25.0)})
+    return run_downscale(fix.with_top_gap(_base(wide)), fix.with_gaps(_change(wide)), mask=mask, scale=0.5, fallback=0.0, bounds={"thetao": (None, 25.0)})
 
 
 # The anomaly's domain is the baseline's cells that the mask makes wet.
@@ -321,6 +333,12 @@ def filled_anomaly(spark, sf_dir):
     return _downscaled(spark, sf_dir).select(*CELL, r6("anomaly_value"), "fill_kind")
 
 
+@query(f"""{_DOWN} SELECT iz, count(*) AS cells, count(v) AS valid, count(*) FILTER (WHERE fill_kind = 'filled') AS n_filled, count(*) FILTER (WHERE fill_kind = 'top') AS n_top, 0 AS n_forced,
+  count(*) FILTER (WHERE fill_kind = 'fallback') AS n_fallback, 0 AS n_below, count(*) FILTER (WHERE v > 25) AS n_above FROM f5 GROUP BY iz""")
+def review_report(spark, sf_dir):
+    return fill.review_report(_downscaled(spark, sf_dir), ["iz"])
+
+
 @query(f"""WITH {G}, {DONORS}, x AS (SELECT o.iz, o.v, coalesce(o.v, f.fill) AS w, o.v IS NULL AND f.fill IS NOT NULL AS filled FROM ocean o LEFT JOIN idw f USING (iz, iy, ix))
   SELECT iz, count(*) AS cells, count(*) AS wet_cells, count(w) AS valid, count(*) - count(w) AS remaining, count(*) FILTER (WHERE filled) AS n_filled FROM x GROUP BY iz""")
 def fill_report(spark, sf_dir):
@@ -418,8 +436,8 @@ def export_csv_table(spark, sf_dir):
 
 
 def _coded(spark, sf_dir):
-    chl = _clim(spark, sf_dir, "chl", "hist").withColumn("value", F.col("value") / 1000)
-    both = fix.with_top_gap(_clim(spark, sf_dir, "thetao", "hist").unionByName(chl)).withColumn("value", F.round("value", 6))
+    both = _base(_wide(spark, sf_dir)).unionByName(_base(_wide(spark, sf_dir, "chl")).withColumn("value", F.col("value") / 1000))
+    both = checkpointed(fix.with_top_gap(both).withColumn("value", F.round("value", 6)))  # read for the types and for the rows
     return products.encode_integer(both, ["variable"], fx.scale_factor(F.concat(F.lit("future/"), F.col("variable"), F.lit("/x.nc"))))
 
 
@@ -451,8 +469,7 @@ def split_by_depth(spark, sf_dir):
   SELECT label, iy, ix, round(sum(v * (upper - lower)) / sum(CASE WHEN v IS NOT NULL THEN upper - lower END), 6) AS value, count(DISTINCT iz) AS levels FROM t JOIN layers USING (iz) JOIN fine ON depth >= a AND depth < b GROUP BY label, iy, ix""")
 def flagship(spark, sf_dir):
     """Two climatologies, their change, applied to the baseline, top fill, fine depth bins."""
-    base = fix.with_top_gap(_clim(spark, sf_dir, "thetao", "hist"))
-    delta = climate.change_field(_clim(spark, sf_dir, "thetao", "futB"), base, CELL)
-    out = columns.fill_top(climate.apply_delta(base, delta, CELL), ["variable", "iy", "ix"])
+    wide = checkpointed(_wide(spark, sf_dir).withColumn("hist", F.when(F.expr("iz >= (ix + iy) % 4"), F.col("hist"))))
+    out = columns.fill_top(climate.apply_delta(_base(wide), _change(wide), CELL), ["variable", "iy", "ix"])
     table = spark.createDataFrame(list(FINE_BINS), "label string, lower double, upper double")
-    return columns.depth_bins(out, _layers(spark, sf_dir), table, ["iy", "ix"]).select("label", "iy", "ix", r6(), "levels")
+    return columns.depth_bins(out, _layers(spark, sf_dir, wide), table, ["iy", "ix"]).select("label", "iy", "ix", r6(), "levels")

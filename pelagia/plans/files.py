@@ -82,11 +82,11 @@ def extract_manifest(spark, sf_dir):
     return manifest.extract_manifest(scripts)
 
 
-@query()
+@query(f"WITH {M} SELECT title AS id, source_id, variable_id, CASE WHEN o_orderkey % 2 = 0 THEN http_url ELSE 'globus:archive' END AS http_url FROM m")
 def flatten_docs(spark, sf_dir):
     f = fix.files(spark, sf_dir)
     url = F.concat(F.col("http_url"), F.lit("|application/netcdf|"), F.when(F.col("o_orderkey") % 2 == 0, "HTTPServer").otherwise("OPENDAP"))
-    docs = f.select(F.col("title").alias("id"), F.array("source_id").alias("source_id"), F.array("variable_id").alias("variable_id"), F.array(F.concat(F.lit("gs://x|application/netcdf|"), F.lit("Globus")), url).alias("url"))
+    docs = f.select(F.col("title").alias("id"), F.array("source_id").alias("source_id"), F.array("variable_id").alias("variable_id"), F.array(F.concat(F.lit("globus:archive|application/netcdf|"), F.lit("Globus")), url).alias("url"))
     text = docs.select(F.to_json(F.struct("*")).alias("doc"))
     parsed = text.select(F.from_json("doc", "id string, source_id array<string>, variable_id array<string>, url array<string>").alias("d")).select("d.*")
     return manifest.flatten_docs(parsed)
@@ -216,7 +216,7 @@ def normalize_units(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '0000_0025m' WHEN 1 THEN 'epipelagic_0000_0200m' WHEN 2 THEN 'bin' WHEN 3 THEN '0.0-25.0' END AS depth,
-  CASE o_orderkey % 5 WHEN 4 THEN 5.079 END AS depth_m FROM orders""")
+  CASE o_orderkey % 5 WHEN 4 THEN 5.079::DOUBLE END AS depth_m FROM orders""")
 def depth_label(spark, sf_dir):
     k = F.col("o_orderkey") % 5
     name = F.when(k == 0, "x_layer_0000_0025m.nc").when(k == 1, "x_zone_epipelagic_0000_0200m.nc").when(k == 4, "x_depth_0005p079m.nc").otherwise("x.nc")

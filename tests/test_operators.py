@@ -103,7 +103,7 @@ def test_nearest_any_donor_reaches_dry_cells_and_far_ones(spark):
     a[0, 0], a[11, 16] = 1.0, 2.0
     wet = np.zeros((NY, NX), bool)
     wet[5, 5] = wet[11, 15] = True
-    got = array(fill.nearest_any_donor(field(spark, a, wet), ["iz"], steps=2))
+    got = array(fill.nearest_any_donor(field(spark, a, wet), ["iz"], tiles=(8, 2)))
     assert got[5, 5] == 1.0 and got[11, 15] == 2.0 and np.isnan(got[4, 4])
 
 
