@@ -39,6 +39,19 @@ def level_stats(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cells.groupBy(*keys).agg(F.min("depth").alias("z_min"), F.max("depth").alias("z_max"), F.count_distinct("depth").alias("levels"))
 
 
+def grid_summary(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Type, sizes and steps of the longitude-latitude grid that each dataset's cells lie on; a single row or column has no step."""
+    out = cells.groupBy(*keys).agg(F.count_distinct("lon").alias("xsize"), F.count_distinct("lat").alias("ysize"), F.min("lon").alias("_x0"), F.max("lon").alias("_x1"), F.min("lat").alias("_y0"), F.max("lat").alias("_y1"))
+    step = lambda a, b, n: F.round((F.col(b) - F.col(a)) / F.nullif(F.col(n) - 1, F.lit(0)), 9)
+    return out.select(*keys, F.lit("lonlat").alias("gridtype"), "xsize", "ysize", step("_x0", "_x1", "xsize").alias("xinc"), step("_y0", "_y1", "ysize").alias("yinc"))
+
+
+def representative(files: DataFrame, keys: Sequence[str], path: str = "path") -> DataFrame:
+    """The file of each group that stands for it: the first by path."""
+    rest = [c for c in files.columns if c not in keys]
+    return files.groupBy(*keys).agg(F.min_by(F.struct(*rest), path).alias("_file")).select(*keys, *[F.col(f"_file.{c}").alias(c) for c in rest])
+
+
 def baseline_family(variable: Column) -> Column:
     return F.when(variable.isin(*GLORYS), "glorys").when(variable.isin(*HINDCAST), "hindcast").otherwise("none")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pelagia.functions import fields as fx
 from pelagia.operators import audit, climate, columns, fill, products, remap
+from pelagia.plans import jobs
 from pelagia.plans.downscale import coast_baseline as build_coast_baseline
 from pelagia.plans.downscale import downscale as run_downscale
 from pelagia.plans.registry import query
@@ -247,8 +248,8 @@ def depth_bins_pelagic(spark, sf_dir):
   SELECT iy, ix, iz_out AS iz, d::DOUBLE AS depth, round(CASE WHEN sw >= 0.5 THEN sv / sw END, 6) AS value FROM s""")
 def vertical_interp(spark, sf_dir):
     target = spark.createDataFrame(list(enumerate((0.3, 5.0, 29.445, 100.0, 453.938, 1000.0, 2000.0))), "iz int, depth double")
-    weights = columns.vertical_weights(_levels(spark), target)
-    return columns.vertical_interp(fix.with_top_gap(_clim(spark, sf_dir, "thetao", "hist")), weights, ["iy", "ix"]).select("iy", "ix", "iz", "depth", r6())
+    cells = fix.with_top_gap(_clim(spark, sf_dir, "thetao", "hist"))
+    return jobs.to_reference_levels(cells, _levels(spark), target, ["iy", "ix"]).select("iy", "ix", "iz", "depth", r6())
 
 
 @query(f"""WITH {G}, p AS (SELECT DISTINCT iz, lon FROM g), d AS (SELECT iz, lon, abs(lon - lag(lon) OVER (PARTITION BY iz ORDER BY lon)) AS s FROM p),
@@ -396,9 +397,63 @@ def raster_transform(spark, sf_dir):
     return remap.raster_transform(fix.series(spark, sf_dir), ["model"])
 
 
+_CORNERS = """tg AS (SELECT y.i::INT AS dy, x.i::INT AS dx, (-72.4::DOUBLE + 5.1::DOUBLE * y.i + 75) / 10 AS fy, (((-176.3::DOUBLE + 7.7::DOUBLE * x.i + 180) / 15) % 24) AS fx FROM range(29) y(i), range(46) x(i)),
+  t AS (SELECT *, floor(fy)::INT AS y0, floor(fx)::INT AS x0, fy - floor(fy) AS ty, fx - floor(fx) AS tx FROM tg WHERE fy BETWEEN 0 AND 15),
+  w AS (SELECT dy, dx, y0 + a.i AS iy, (x0 + b.i) % 24 AS ix, (CASE a.i WHEN 1 THEN ty ELSE 1 - ty END) * (CASE b.i WHEN 1 THEN tx ELSE 1 - tx END) AS w FROM t, range(2) a(i), range(2) b(i))"""
+
+
+@query(f"""WITH {G}, {_CORNERS}, c AS (SELECT time, iy, ix, avg(thetao) AS v FROM g GROUP BY ALL)
+  SELECT time, dy AS iy, dx AS ix, round(sum(w * v) / sum(w), 6) AS value FROM w JOIN c USING (iy, ix) WHERE w > 0 GROUP BY ALL""")
+def prepare_monthly(spark, sf_dir):
+    weights = remap.bilinear_weights(spark, remap.Grid(fix.NX, fix.NY, -180.0, 15.0, -75.0, 10.0), TARGET.cells(spark))
+    return jobs.prepare_monthly(fix.series(spark, sf_dir), ["variable"], weights, "renormalise").select("time", "iy", "ix", r6())
+
+
+@query(f"""WITH q AS ({_bins_sql(FINE_BINS)}) SELECT label, 100 AS scale_factor, 'int16' AS encoded_dtype, -32768 AS nodata, 0 AS "offset", min(value) AS min_real, max(value) AS max_real,
+  min(round_even(value * 100, 0)::INT) AS min_encoded, max(round_even(value * 100, 0)::INT) AS max_encoded FROM q GROUP BY label""")
+def deliver(spark, sf_dir):
+    wide = checkpointed(_wide(spark, sf_dir))
+    table = spark.createDataFrame(list(FINE_BINS), "label string, lower double, upper double")
+    return jobs.deliver(fix.with_top_gap(_base(wide)), _layers(spark, sf_dir, wide), table, ["label"], F.lit(100))[1]
+
+
 # ------------------------------------------------------------------------------------- statistics
 
 
+_AUDITED = "SELECT *, CASE model WHEN 'M1' THEN thetao + 273.15 ELSE thetao END AS v, CASE model WHEN 'M2' THEN depth * 100 ELSE depth END AS z FROM g"
+
+
+@query(f"""WITH {G}, x AS ({_AUDITED}), s AS (SELECT model, scenario, min(concat_ws('/', model, scenario, strftime(time, '%Y%m'))) AS path, max(v) AS sx, max(z) AS zx FROM x GROUP BY ALL), b AS (SELECT max(thetao) AS bx FROM base),
+  k AS (SELECT *, CASE WHEN model = 'M2' THEN '0.01' ELSE '1' END AS suggested_z_scale, CASE WHEN sx > 100 AND bx < 100 THEN 'K_to_C' ELSE '1' END AS suggested_var_scale FROM s, b)
+  SELECT model, scenario, path, round(sx, 2) AS source_max, suggested_z_scale, suggested_var_scale, CASE WHEN suggested_z_scale <> '1' THEN 'review_depth_units' WHEN suggested_var_scale <> '1' THEN 'review_variable_units' ELSE 'ok_or_review_metadata' END AS status FROM k""")
+def audit_inputs(spark, sf_dir):
+    s = fix.series(spark, sf_dir)
+    kelvin, cm = F.col("model") == "M1", F.col("model") == "M2"
+    cells = s.withColumns({"value": F.when(kelvin, F.col("value") + 273.15).otherwise(F.col("value")), "depth": F.when(cm, F.col("depth") * 100).otherwise(F.col("depth"))})
+    path = F.concat_ws("/", "model", "scenario", F.date_format("time", "yyyyMM"))
+    files = s.select("model", "scenario", "variable", path.alias("path"), F.when(kelvin, "K").otherwise("degC").alias("source_units"), F.when(cm, "cm").otherwise("m").alias("z_units")).distinct()
+    base = _clim(spark, sf_dir, "thetao", "hist").withColumn("baseline_units", F.lit("degC"))
+    rows = jobs.audit_inputs(cells, files, base, ["model", "scenario", "variable"])
+    return rows.select("model", "scenario", "path", F.round("source_max", 2).alias("source_max"), "suggested_z_scale", "suggested_var_scale", "status")
+
+
+@query(f"""WITH {G}, p AS (SELECT *, sin(radians(least(lat + 5, 90))) - sin(radians(greatest(lat - 5, -90))) AS area FROM g WHERE NOT (model = 'M2' AND ix = 23)),
+  sl AS (SELECT model, iz, time, sum(thetao * area) / sum(area) AS m FROM p GROUP BY ALL), mn AS (SELECT model, round(avg(m), 6) AS mean FROM sl GROUP BY model),
+  gr AS (SELECT model, count(DISTINCT lon) AS xsize, count(DISTINCT lat) AS ysize, max(lon) - min(lon) AS dx, max(lat) - min(lat) AS dy, min(thetao) AS min, max(thetao) AS max, max(depth) AS z_max, count(DISTINCT depth) AS levels FROM p GROUP BY model),
+  bg AS (SELECT count(DISTINCT lon) AS bx, count(DISTINCT lat) AS bye, max(lon) - min(lon) AS bdx, max(lat) - min(lat) AS bdy FROM base),
+  j AS (SELECT *, xsize = bx AND ysize = bye AND abs(dx - bdx) < 1e-6 AND abs(dy - bdy) < 1e-6 AS same FROM gr JOIN mn USING (model), bg)
+  SELECT model, xsize, ysize, min, max, mean, z_max, levels, same AND model <> 'M1' AS grid_matches_baseline, CASE WHEN model = 'M1' THEN 'unexpected_resolution' WHEN NOT same THEN 'grid_mismatch' ELSE 'ok' END AS status FROM j""")
+def audit_products(spark, sf_dir):
+    s = fix.series(spark, sf_dir).where("NOT (model = 'M2' AND ix = 23)")
+    meta = s.select("model", "variable", F.when(F.col("model") == "M1", "0p25").otherwise("0p05").alias("resolution")).distinct()
+    base = _clim(spark, sf_dir, "thetao", "hist").withColumn("baseline_path", F.lit("glorys/thetao"))
+    known = spark.createDataFrame([("glorys", "thetao", "0p05", False, "glorys/thetao")], "family string, variable string, resolution string, is_fallback boolean, baseline_path string")
+    rows = jobs.audit_products(s, meta, base, F.broadcast(known), ["model"], 5.0)
+    return rows.select("model", "xsize", "ysize", "min", "max", r6("mean"), "z_max", "levels", "grid_matches_baseline", "status")
+
+
+
+
 @query("SELECT event_type AS variable, min(value) AS min, max(value) AS max, count(value) AS n FROM (SELECT *, min(ts) OVER (PARTITION BY event_type) AS first_ts FROM events) WHERE ts = first_ts GROUP BY ALL")
 def field_stats_first_step(spark, sf_dir):
     return audit.first_step_stats(fix.daily(spark, sf_dir), ["variable"])

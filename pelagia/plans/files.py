@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pelagia.functions import fields as fx
 from pelagia.operators import audit, manifest, products
+from pelagia.plans import jobs
 from pelagia.plans.registry import query
 from pelagia.schema import CESM_NAMES, EXPERIMENTS, GLORYS, HINDCAST, VARIABLES, rule
 from pelagia.sources import fixtures as fix
@@ -165,6 +166,22 @@ def coverage_summary(spark, sf_dir):
     return manifest.coverage_summary(_coverage(spark, sf_dir))
 
 
+_ONE = """md AS (SELECT * EXCLUDE (pref, nth) FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY pref, data_node, o_orderkey) AS nth FROM
+  (SELECT *, CASE WHEN contains(http_url, 'esgf.nci.org.au') THEN 0 WHEN starts_with(http_url, 'https://') THEN 1 ELSE 2 END AS pref FROM m)) WHERE nth = 1)"""
+
+
+@query(f"{_CHECKS.replace(FIRST, _ONE + ',' + FIRST.replace('FROM m)', 'FROM md)'))} SELECT source_id, sum(has_file_overlap::INT)::BIGINT AS covered_checks, count(*) AS total_checks, sum(has_file_overlap::INT) / count(*) AS coverage_fraction FROM ck GROUP BY ALL")
+def discover(spark, sf_dir):
+    f = fix.files(spark, sf_dir)
+    url = F.array(F.concat(F.lit("globus:archive|application/netcdf|Globus")), F.concat(F.col("http_url"), F.lit("|application/netcdf|HTTPServer")))
+    lists = {c: F.array(c) for c in ("source_id", "experiment_id", "variable_id", "member_id")}
+    docs = f.withColumns(lists | {"url": url}).drop("http_url")
+    windows = fix.dates(spark, fix.ARCHIVE_WINDOWS, "experiment_group window start end")
+    experiments = spark.createDataFrame([(e,) for e in EXPERIMENTS], "experiment_id string")
+    variables = spark.createDataFrame([(v,) for v in VARIABLES], "variable_id string")
+    return jobs.discover(docs, windows, experiments, variables, [F.col("data_node"), F.col("o_orderkey")])[2]
+
+
 @query(f"""WITH {M}, r AS (SELECT source_id, experiment_id, variable_id, member_id, checksum, list_sort(list(DISTINCT concat('https://mirror', o_orderkey % 4, '/', title))) AS urls FROM m GROUP BY ALL)
   SELECT o_orderkey, array_to_string(list_concat(CASE WHEN http_url = '' THEN []::VARCHAR[] ELSE [http_url] END, coalesce(urls, [])), ' ') AS urls FROM m JOIN r USING (source_id, experiment_id, variable_id, member_id, checksum)""")
 def replica_candidates(spark, sf_dir):
@@ -249,14 +266,14 @@ def stage_first_realization(spark, sf_dir):
     return products.stage_first_realization(_products(spark, sf_dir), "0p25").select("o_orderkey", "realization", "staged_relative_path")
 
 
-@query(f"""WITH {_PRODUCTS}, n AS (SELECT * FROM pr WHERE kind = 'future' AND o_orderkey % 4 = 1 AND variable <> 'so'), l AS (SELECT * FROM pr WHERE kind = 'future' AND o_orderkey % 4 = 2),
+@query(f"""WITH {_PRODUCTS}, n AS (SELECT * FROM pr WHERE kind = 'future' AND o_orderkey % 4 = 1 AND variable <> 'so'), l AS (SELECT * FROM pr WHERE kind = 'future' AND NOT (o_orderkey % 4 = 1 AND variable <> 'so')),
   fu AS (SELECT 'future' AS kind, variable, model, realization, scenario, win, resolution, file_name FROM n UNION ALL SELECT 'future', variable, model, realization, scenario, win, resolution, file_name FROM l ANTI JOIN n USING (variable, win)),
   b AS (SELECT variable, resolution, file_name, CASE WHEN o_orderkey % 8 = 0 THEN 0 ELSE 1 END AS rank FROM pr WHERE kind = 'baseline'), ba AS (SELECT *, row_number() OVER (PARTITION BY variable, resolution ORDER BY rank, file_name) AS n FROM b)
   SELECT kind, concat_ws('/', 'future', model, realization, scenario, variable, win, resolution) AS destination, file_name AS path FROM fu UNION ALL SELECT 'baseline', concat_ws('/', 'baseline', variable, resolution), file_name FROM ba WHERE n = 1""")
 def curate_products(spark, sf_dir):
     p = _products(spark, sf_dir).withColumn("path", F.col("file_name"))
     ahead, base = p.where("kind = 'future'"), p.where("kind = 'baseline'").select("o_orderkey", "variable", "resolution", "path")
-    tree = products.curate(ahead.where("o_orderkey % 4 = 1 AND variable <> 'so'"), ahead.where("o_orderkey % 4 = 2"), base.where("o_orderkey % 8 <> 0").drop("o_orderkey"), base.where("o_orderkey % 8 = 0").drop("o_orderkey"))
+    tree = products.curate(ahead.where("o_orderkey % 4 = 1 AND variable <> 'so'"), ahead.where("NOT (o_orderkey % 4 = 1 AND variable <> 'so')"), base.where("o_orderkey % 8 <> 0").drop("o_orderkey"), base.where("o_orderkey % 8 = 0").drop("o_orderkey"))
     return tree.select("kind", "destination", "path")
 
 

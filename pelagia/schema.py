@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,8 @@ GRID_CELLS = T.StructType(
     + [T.StructField(c, T.DoubleType()) for c in ("depth", "lat", "lon", "value")]
 )
 
+# Fixed values of the domain, down to PELAGIC_ZONES: names, factors, bounds and ranges that results depend on.
+
 #: (window, start, end); the first is historical, the others future and overlapping.
 WINDOWS = (("2006-2014", "2006-01-01", "2014-12-31"), ("2030-2060", "2030-01-01", "2060-12-31"), ("2050-2060", "2050-01-01", "2060-12-31"), ("2090-2100", "2090-01-01", "2100-12-31"))
 EXPERIMENTS = ("historical", "ssp126", "ssp245", "ssp585")
@@ -58,6 +62,28 @@ def any_of(column: Column, wanted: tuple | list) -> Column:
     return column.isin(list(wanted)) if wanted else F.lit(True)
 
 
+def spec(text: str) -> dict[str, str]:
+    """A mapping written as "source:target source:target"; a name alone maps to itself, a source named twice is an error."""
+    out: dict[str, str] = {}
+    for part in text.replace(",", " ").split():
+        source, _, target = part.partition(":")
+        if not source or source in out or part.count(":") > 1:
+            raise ValueError(f"not a mapping: {part}")
+        out[source] = target or source
+    return out
+
+
+def filled_template(template: str, **columns: Column) -> Column:
+    """A path template whose {name} tokens are columns; a token without a column is an error."""
+    parts: list[Column] = []
+    for literal, name, _, _ in Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if name is not None:
+            parts.append(columns[name])
+    return F.concat(*parts)
+
+
 def rule(column: Column, values: dict, default: Column | None = None) -> Column:
     """values[column], or default."""
     out = F.lit(None) if default is None else default
