@@ -94,7 +94,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 4)
 
 
-QUERIES = {"op12_whitening": op12_whitening, "op11_pieces": op11_pieces, "op2_langid": op2_langid, "op5_licences": op5_licences, "op1_near_dups": op1_near_dups, "op8_substring": op8_substring, "op4_flac": op4_flac, "op10_ann": op10_ann, "op3_toxicity": op3_toxicity, "op9_packing": op9_packing, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pelagia.llm.runs import digest, planted, word_runs
+
+    return digest(word_runs(_table(spark, sf_dir, "documents"), order=planted))
+
+
+QUERIES = {"op13_runs": op13_runs, "op12_whitening": op12_whitening, "op11_pieces": op11_pieces, "op2_langid": op2_langid, "op5_licences": op5_licences, "op1_near_dups": op1_near_dups, "op8_substring": op8_substring, "op4_flac": op4_flac, "op10_ann": op10_ann, "op3_toxicity": op3_toxicity, "op9_packing": op9_packing, "op6_line_dedup": op6_line_dedup, "op7_mixing": op7_mixing}
 
 #: The blanks [\x20\x09-\x0D] as DuckDB writes them.
 _BLANKS = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
