@@ -14,7 +14,7 @@ Texts are shuffled once, compressed, into a bucketed table that both the extensi
 the segments of text around shared anchors.  Until release() that table and the ranges stay in the shared folder for the lazy result.
 
 Cases: a null or empty text has no words; repeats within one document don't count; rows that repeat a doc_id are told apart by a
-tag of their text and judged against smaller ids only; copies of a row are looked at once and all get its outcome; rows without
+64-bit hash of their text and judged against smaller ids only; copies of a row are looked at once and all get its outcome; rows without
 doc_id keep every word; texts shorter than a window, too; columns other than doc_id and text are not read.
 """
 
@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.llm.common import Scratch, partitions, rolling, salted_lookup, word_hashes
@@ -42,7 +42,8 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def _tag(raw: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(raw) & 0xFFFFF
+    """64 bits that tell the texts of one doc_id apart."""
+    return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
 
 
 def winnow(words: list[bytes], seed: int = SEED, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -63,37 +64,34 @@ def _packed(docs: DataFrame) -> DataFrame:
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
             raw = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_tag(r) for r in raw], pa.int32()), pa.array([z.compress(r) for r in raw], pa.binary())], ["doc_id", "tag", "zipped"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_tag(r) for r in raw], pa.int64()), pa.array([z.compress(r) for r in raw], pa.binary())], ["doc_id", "tag", "zipped"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, tag int, zipped binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, tag long, zipped binary")
 
 
 def anchors(docs: DataFrame, seed: int = SEED, span: int = SPAN) -> DataFrame:
-    """h, doc_id, place: every anchor of every text.
+    """h, doc_id, tag, place: every anchor of every text.
 
-    place packs the tag (20 bits), the position (31) and how far before it its first and last window begin (6 each).
+    place packs the position (31 bits) and how far before it its first and last window begin (6 each).
     """
     if not 0 < span - seed < 64:
         raise ValueError("a window may hold at most 63 words more than a seed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, place, h = [], [], []
+            ids, tags, place, h = [], [], [], []
             for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 raw = (t.as_py() or "").encode("utf-8", "surrogatepass")
                 at, x, first, last = winnow(raw.split(), seed, span)
                 if len(at):
                     ids.append(np.full(len(at), d, np.int64))
-                    place.append(_tag(raw) << 43 | at << 12 | (at - first) << 6 | (at - last))
+                    tags.append(np.full(len(at), _tag(raw), np.int64))
+                    place.append(at << 12 | (at - first) << 6 | (at - last))
                     h.append(x.view(np.int64))
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (h, ids, place)], ["h", "doc_id", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (h, ids, tags, place)], ["h", "doc_id", "tag", "place"])
 
-    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "h long, doc_id long, place long")
-
-
-def tag_of(place: Column) -> Column:
-    return F.shiftright(place, 43).cast("int")
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "h long, doc_id long, tag long, place long")
 
 
 def _segments(span: int):
@@ -102,13 +100,13 @@ def _segments(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip, z = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         names = ["doc_id", "tag", "segment", "words", "place", "h"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         for b in batches:
             rows = []
             for d, tag, zipped, seeds in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
                 words, stretches = unzip.decompress(zipped.as_py()).split(), []
-                for s in sorted(seeds, key=lambda s: s["place"] & (1 << 43) - 1):
-                    at = s["place"] >> 12 & (1 << 31) - 1
+                for s in sorted(seeds, key=lambda s: s["place"]):
+                    at = s["place"] >> 12
                     begin, end = at - (s["place"] >> 6 & 63), at - (s["place"] & 63) + span
                     if stretches and begin <= stretches[-1][1]:
                         stretches[-1][1] = max(stretches[-1][1], end)
@@ -128,15 +126,15 @@ def _extend(seed: int, span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
         names = ["doc_id", "tag", "begin", "finish", "window"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for b in batches:
             rows = []
             for d, tag, start, first_doc, first_start, pairs, own, other in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 x, y = unzip.decompress(own).split(), unzip.decompress(other).split()
                 done: dict[int, tuple[int, int]] = {}  # diagonal -> the last maximal repeat on it
-                for p in sorted(pairs, key=lambda p: p["place"] & (1 << 43) - 1):
-                    at = (p["place"] >> 12 & (1 << 31) - 1) - start
-                    to = (p["first"] >> 12 & (1 << 31) - 1) - first_start
+                for p in sorted(pairs, key=lambda p: p["place"]):
+                    at = (p["place"] >> 12) - start
+                    to = (p["first"] >> 12) - first_start
                     low, high = at - (p["place"] >> 6 & 63), at - (p["place"] & 63)
                     left, right = done.get(at - to, (0, 0))
                     if not (left <= at and at + seed <= right):
@@ -166,7 +164,7 @@ def shared_seeds(docs: DataFrame, scratch: Scratch, seed: int = SEED, span: int
     found = scratch.staged(anchors(docs, seed, span), "anchors")
     shared = found.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("h")
     both = salted_lookup(found, shared, ["h"], "left_semi", 4)
-    return both.groupBy("doc_id", tag_of(F.col("place")).alias("tag")).agg(F.collect_set(F.struct("place", "h")).alias("seeds"))
+    return both.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("place", "h")).alias("seeds"))
 
 
 def repeats(texts: DataFrame, scratch: Scratch, seed: int = SEED, span: int = SPAN, pair_rows: int = 500) -> DataFrame:
@@ -175,11 +173,11 @@ def repeats(texts: DataFrame, scratch: Scratch, seed: int = SEED, span: int = SP
     texts: doc_id, tag, zipped, seeds; one row of those that repeat a text of a doc_id is looked at.
     """
     once = texts.where("seeds IS NOT NULL").dropDuplicates(["doc_id", "tag"])  # bucketed by these: nothing moves
-    segments = scratch.staged(once.select("doc_id", "tag", "zipped", "seeds").mapInArrow(_segments(span), "doc_id long, tag int, segment int, words binary, place array<long>, h array<long>"), "segments")
+    segments = scratch.staged(once.select("doc_id", "tag", "zipped", "seeds").mapInArrow(_segments(span), "doc_id long, tag long, segment int, words binary, place array<long>, h array<long>"), "segments")
     single = segments.select("doc_id", "tag", "segment", F.explode(F.arrays_zip("place", "h")).alias("s")).select("doc_id", "tag", "segment", "s.place", "s.h")
-    first = single.groupBy("h").agg(F.min(F.struct("doc_id", "place", "segment")).alias("first"))
+    first = single.groupBy("h").agg(F.min(F.struct("doc_id", "tag", "place", "segment")).alias("first"))
     met = salted_lookup(single, first, ["h"], "inner", 4)
-    pairs = met.groupBy("doc_id", "tag", "segment", F.col("first.doc_id").alias("first_doc"), tag_of(F.col("first.place")).alias("first_tag"), F.col("first.segment").alias("first_segment")).agg(F.collect_list(F.struct("place", F.col("first.place").alias("first"))).alias("pairs"))
+    pairs = met.groupBy("doc_id", "tag", "segment", F.col("first.doc_id").alias("first_doc"), F.col("first.tag").alias("first_tag"), F.col("first.segment").alias("first_segment")).agg(F.collect_list(F.struct("place", F.col("first.place").alias("first"))).alias("pairs"))
     pairs = scratch.staged(pairs, "segment_pairs")
     # A segment that many meet is repeated, so that no task extends more than about pair_rows pairs against it.
     spread = pairs.groupBy("first_doc", "first_tag", "first_segment").agg(F.ceil(F.count("*") / pair_rows).cast("int").alias("salts"))
@@ -190,7 +188,7 @@ def repeats(texts: DataFrame, scratch: Scratch, seed: int = SEED, span: int = SP
     other = other.join(spread, key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     # Merge joins at every size: whether a side is broadcast would otherwise hang on the input.
     ready = salted.join(text.hint("merge"), ["doc_id", "tag", "segment"]).join(other.hint("merge"), [*key, "salt"]).select("doc_id", "tag", "segment", "first_doc", "first_segment", "pairs", "own", "other")
-    extended = scratch.staged(ready.mapInArrow(_extend(seed, span), "doc_id long, tag int, begin int, finish int, window binary"), "extended")
+    extended = scratch.staged(ready.mapInArrow(_extend(seed, span), "doc_id long, tag long, begin int, finish int, window binary"), "extended")
     open_ = extended.where("window IS NOT NULL").select("doc_id", "tag", "begin", "window")
     again = open_.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("window", "low")
     rest = salted_lookup(open_, again, ["window"], "inner", 4).where("low < doc_id").select("doc_id", "tag", "begin", (F.col("begin") + span).alias("finish"))

@@ -1,6 +1,7 @@
 """Repeated rows of a few doc_ids cost no more than one row each."""
 
 import numpy as np
+import xxhash
 
 from pelagia.llm import substring
 from pelagia.llm.common import free_names, set_aside
@@ -28,6 +29,17 @@ def test_two_texts_of_one_id_are_judged_apart(spark):
     assert got == [(1, 120, 0), (2, 120, 0), (2, 120, 120), (2, 120, 120), (3, 120, 120)]
 
 
+def test_texts_whose_short_hashes_agree(spark):
+    """Two texts of one doc_id, one a copy and one new, whose hashes share their low 20 bits."""
+    low, passage = lambda t: xxhash.xxh3_64_intdigest(t.encode()) & 0xFFFFF, text(6, 60)
+    copies, draw = {low(f"{passage} {i}"): f"{passage} {i}" for i in range(3000)}, 0
+    while low(new := f"{text(7, 80)} {draw}") not in copies:
+        draw += 1
+    rows = [(1, passage), (5, copies[low(new)]), (5, new)]
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 60, 0), (5, 61, 60), (5, 81, 0)]
+
+
 def test_names_are_set_aside(spark):
     df = spark.createDataFrame([(1, 2, 3)], "Size int, size_ int, other int")
     assert free_names(df, "size", "x", "x") == ["size__", "x", "x_"]
