@@ -5,11 +5,14 @@ its words (inflected and compounded forms share those), each present or not.
 FTRL-proximal keeps a rate for each coordinate and an L1 threshold, so most weights are exactly zero and the model is a short
 list of (index, weight), a broadcast of at most 2^bits entries.
 
-Training reads at most max_rows labelled documents (a documented bound), chosen by hash of doc_id; each of `shards` tasks
-runs FTRL over its share of them, and their weights are averaged.  Scoring runs over whole texts in the tasks that read them.
-
-Cases: a null or empty text has the bias alone as its score; rows without doc_id are scored like others; labels that are null
-or not 0 / 1 train nothing; without labelled rows of both classes every score is the base rate (0.0 with none).
+Training reads at most max_rows labelled documents, and of those in the order of their hashes only so many that their texts have
+max_chars characters together (two documented bounds); each of `shards` tasks runs FTRL over its share of them, and their weights
+are averaged.  Scoring runs over whole texts in the tasks that read them.
+
+Cases: a null or empty text has the bias alone as its score; rows that repeat a doc_id are scored each, and train as one, with the text
+of the smallest hash; a doc_id with conflicting labels counts as toxic; rows without doc_id are scored like others; labels that are null
+or not 0 / 1 train nothing; without labelled rows of both classes every score is the base rate (0.0 with none); a column named score
+is replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pelagia.llm.common import mix64, word_hashes
@@ -40,6 +44,7 @@ class Settings:
     epochs: int = 6
     shards: int = 1
     max_rows: int = 6_000
+    max_chars: int = 64_000_000
 
 
 @dataclass(frozen=True)
@@ -94,7 +99,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, sett
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     known = (known if usable is None else known.where(usable)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.withColumn("order", F.xxhash64(F.lit("toxic"), "doc_id")).orderBy("order", "doc_id").limit(s.max_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("shard", F.pmod("order", F.lit(s.shards)).cast("int"))
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "order", "toxic")
+    once = found.agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least")).select("doc_id", "order", "toxic", F.col("least.text").alias("text"))
+    # One task numbers at most max_rows lengths.
+    upto = F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("long")).over(W.orderBy("order", "doc_id"))
+    rows = once.withColumn("upto", upto).where(F.col("upto") <= s.max_chars).withColumn("shard", F.pmod("order", F.lit(s.shards)).cast("int"))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["order", "doc_id"])
@@ -143,5 +152,5 @@ def scored(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Data
         for texts in batches:
             yield pd.Series(of(texts))
 
-    names = docs.columns if keep is None else keep
+    names = [c for c in docs.columns if c.lower() != "score"] if keep is None else keep
     return docs.select(*names, score(F.col("text")).alias("score"))
