@@ -40,6 +40,16 @@ def test_ids_and_spans_are_the_librarys(encoder, library):
         assert encoder.decode(ids.tolist()) == library.decode(library.encode(text))
 
 
+def test_long_parts_merge_like_short_ones(encoder):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("▁abcdehinorst", k=rng.randrange(2, 33))) for _ in range(600)]
+    symbols, sizes = encoder._merged(encoder.symbol[[ord(c) for w in words for c in w]], pieces.np.array([len(w) for w in words]))
+    at = 0
+    for w, n in zip(words, sizes.tolist(), strict=True):
+        assert symbols[at : at + n].tolist() == encoder._merged_long([encoder.number[c] for c in w])
+        at += n
+
+
 def test_spans_cover_the_text(encoder):
     for text in [*ODD, *fuzzed(300, 6)]:
         ids, begins, ends = encoder.encode(text)
@@ -71,8 +81,8 @@ def test_longest_prefixes_of_a_character_map():
 def test_the_query_on_odd_rows(spark, library):
     rows = [(i, t) for i, t in enumerate([*ODD, *fuzzed(60, 8)])] + [(3, "again"), (3, "again"), (None, "no id"), (900, None), (901, "long " * 200_000)]
     docs = docs_of(spark, rows).withColumnRenamed("lang", "ids").withColumnRenamed("source", "decoded")
-    got = pieces.digest(pieces.encoded(docs, MODEL)).drop("spans_sha256").collect()
+    got = pieces.digest(pieces.encoded(docs, MODEL)).collect()
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    want = [(d, len(ids := library.encode(t or "")), sha(",".join(map(str, ids))), sha(library.decode(ids))) for d, t in rows]
+    want = [(d, len(ids := library.encode(t or "")), sha(",".join(map(str, ids))), sha(library.decode(ids)), len((t or "").encode())) for d, t in rows]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert pieces.encoded(docs.limit(0), MODEL).count() == 0
