@@ -459,7 +459,8 @@ def test_language_evidence(spark):
 def test_language_sample_is_of_labelled_rows_and_each_language(spark):
     rows = [(i, f"w{i}", None) for i in range(3000)] + [(5000 + i, f"common{i}", "xx") for i in range(60)] + [(9000, "seldom", "yy")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    names, model = langid.fit(docs, max_rows=41)
+    fitted = langid.fit(docs, max_rows=41)
+    names, model = fitted.names, fitted.table
     assert names == ["xx", "yy"]
     assert (model[1] > model[1].min()).sum() == len(set(langid.grams("seldom").tolist()))
     n = round(sum(np.exp(model[0] - model[0].min(), dtype=np.float64) - 1) / 2)  # grams counted
