@@ -6,15 +6,18 @@ window of every paragraph is scored in full; sums over windows are differences o
 
 Training takes variants of the templates below (words dropped, corpus words around them), made-up notices for "other licence",
 and for "no licence" windows of at most `max_paragraphs` corpus lines (a documented bound; those with half of the word pairs
-of a template or a shape of notice are left out) as they are and with a few licence words strewn in.  Two shapes of notice and a fifth of the corpus lines are held out: a model
-fitted without them is scored on them, and on variants of the templates (which define their families) that lack three times as many
-words, among held-out words.  Its temperature and the offset of "no licence" are fitted to that, so that the probabilities of unknown
-licences and of plain text are calibrated on shapes and lines that training hasn't seen.  The final model is fitted on everything.
+of a template or a shape of notice are left out) as they are and with a few licence words strewn in.  After every pass small weights
+are cut to nothing (L1), so the model is a short list of grams.  Two shapes of notice, the last template of every family with three or
+more, and a fifth of the corpus lines are held out: a model fitted without them is scored on them.  Its temperature and the offset of
+"no licence" are fitted to that, so that probabilities are calibrated on notices, shapes and lines that training hasn't seen.  The
+final model is fitted on everything.
 
 A family is reported only when its template confirms it: at least `contained` of the word pairs of one of its templates occur in
-the window.  A paragraph with a window that is likely a licence, but with none that is confirmed, counts as unknown.
+the window, among them all that tell families of like wording apart (TELLING).  A window has the family of its best confirmed template
+(largest share, then longest); of windows that rest on mostly the same words the better one counts.  A paragraph with a window that is
+likely a licence, but with none that is confirmed, counts as unknown.
 
-The weights (2^BITS x classes) are the only thing broadcast; one task fits them on the bounded sample.
+The weights of the grams that have any are the only thing broadcast; one task fits them on the bounded sample.
 
 Cases: a null or empty text is one empty paragraph without a licence; rows that repeat a doc_id are scanned each on their own;
 without any corpus text nothing is learnt but the templates; columns other than doc_id and text are not read.
@@ -23,8 +26,10 @@ without any corpus text nothing is learnt but the templates; columns other than
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import compress, groupby
 
 import numpy as np
@@ -43,40 +48,90 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+        "SPDX-License-Identifier: Apache-2.0",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
     ),
     "mit": (
         "Released under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
+        "SPDX-License-Identifier: MIT",
+        "The MIT License (MIT)",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    ),
+    "gpl-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
     ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
     ),
     "agpl-3.0": (
         "This work is licensed under the GNU Affero General Public License, version 3.",
         "under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Use of this source code is governed by a BSD-style license",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     ),
     "mpl-2.0": (
         "Licensed under the Mozilla Public License, version 2.0.",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    "cc-by-nc-4.0": (
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
+    ),
+    "cc-by-sa-4.0": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+    ),
+    "cc-by-4.0": (
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-4.0",
+    ),
+    "cc0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "Released under CC0 1.0.",
+        "SPDX-License-Identifier: CC0-1.0",
     ),
-    "cc-by-nc-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "cc-by-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "cc0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Released under CC0 1.0."),
     "isc": (
         "Released under the ISC License.",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC",
     ),
     "all-rights-reserved": ("All rights reserved.", "This material may not be copied or distributed. All rights reserved."),
 }
+#: Words that tell families of like wording apart: a template's own must all be there, and follow what they follow in it; fixed values.
+TELLING = frozenset(b"general affero lesser 2 2.0 2.1 3 by by-nc by-sa attribution attribution-noncommercial attribution-sharealike mit isc bsd-style apache mozilla cc0 spdx-license-identifier".split())
 OTHER, NONE = "other", "none"
 #: (words, step) of the windows: any run of up to words - step words lies whole in one; the longest template has under 48.
 WINDOWS = ((16, 4), (32, 8), (64, 16))
@@ -124,22 +179,44 @@ def _pairs(words: list[bytes]) -> set[tuple[bytes, bytes]]:
     return set(zip(words, words[1:], strict=False)) or {(w, b"") for w in words}
 
 
-KNOWN = {name: [_pairs(_words(t)) for t in texts] for name, texts in TEMPLATES.items()}
+#: Of each template all pairs, and those that must be there.
+KNOWN = {name: [(x := _pairs(w := _words(t)), {p for p in x if p[1] in TELLING or p[0] == b"spdx-license-identifier"} | ({(w[0], w[1])} if w[0] in TELLING else set())) for t in texts] for name, texts in TEMPLATES.items()}
+
+
+def confirmation(pairs: set[tuple[bytes, bytes]], name: str, contained: float = 0.8) -> tuple[float, int, set[tuple[bytes, bytes]]] | None:
+    """Share and length of the family's template that words with these pairs hold best, and its pairs; None where they hold none."""
+    held = [(len(x & pairs) / len(x), len(x), n) for n, (x, must) in enumerate(KNOWN[name]) if must <= pairs and len(x & pairs) >= contained * len(x)]
+    return (*max(held)[:2], KNOWN[name][max(held)[2]][0]) if held else None
 
 
 def confirmed(words: list[bytes], name: str, contained: float = 0.8) -> bool:
-    pairs = _pairs(words)
-    return any(len(x & pairs) >= contained * len(x) for x in KNOWN[name])
+    return confirmation(_pairs(words), name, contained) is not None
 
 
 @dataclass
 class Scanner:
-    weights: np.ndarray  # 2^BITS x classes
+    grams: np.ndarray  # those with any weight
+    rows: np.ndarray  # their weights for each class
     bias: np.ndarray
     temperature: float
     classes: list[str]
     accuracy: float = 1.0  # on the held-out texts, of the model without them
 
+    @classmethod
+    def of(cls, weights: np.ndarray, *rest) -> Scanner:
+        grams = np.flatnonzero(weights.any(1))
+        return cls(grams, weights[grams].astype(np.float32), *rest)
+
+    @cached_property
+    def weights(self) -> np.ndarray:
+        """2^BITS x classes, made where it is used."""
+        out = np.zeros((1 << BITS, len(self.classes)), np.float32)
+        out[self.grams] = self.rows
+        return out
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "weights"}
+
     def scores(self, h: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Calibrated scores of the windows [at, end) of words with hashes h; at ascends, and no window has more than WINDOWS' words."""
         out = np.zeros((len(at), len(self.classes)))
@@ -181,7 +258,7 @@ def _rows(plain: list[list[bytes]], templates: dict[int, list[str]], shapes: Seq
         return words[at : at + size]
 
     def varied(words: list[bytes]) -> list[bytes]:
-        kept = [w for w in words if rng.random() > lost] or words
+        kept = [w for w in words if len(words) < 4 or rng.random() > lost] or words
         around = [pool[i] for i in rng.integers(0, len(pool), int(rng.integers(0, 25)))] if rng.random() < 0.5 else []
         cut = int(rng.integers(0, len(around) + 1))
         return around[:cut] + kept + around[cut:]
@@ -207,8 +284,8 @@ def _rows(plain: list[list[bytes]], templates: dict[int, list[str]], shapes: Seq
     return [_features(rows[i][0]) for i in order], np.array([rows[i][1] for i in order], np.int64)
 
 
-def _fit(x: list[np.ndarray], y: np.ndarray, epochs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias by stochastic gradients with a rate for each gram."""
+def _fit(x: list[np.ndarray], y: np.ndarray, epochs: int, l1: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias by stochastic gradients with a rate for each gram; after each pass weights shrink by l1, small ones to nothing."""
     weights, bias, seen = np.zeros((1 << BITS, len(CLASSES))), np.zeros(len(CLASSES)), np.full((1 << BITS, 1), 1e-6)
     for _ in range(epochs):
         for ids, c in zip(x, y, strict=True):
@@ -218,6 +295,7 @@ def _fit(x: list[np.ndarray], y: np.ndarray, epochs: int) -> tuple[np.ndarray, n
             seen[ids] += scale * scale * (p @ p)
             weights[ids] -= 0.3 * scale * p / np.sqrt(seen[ids])
             bias -= 0.02 * p
+        weights = np.sign(weights) * np.maximum(np.abs(weights) - l1, 0)
     return weights, bias
 
 
@@ -239,9 +317,9 @@ def fitted(lines: list[str | None], epochs: int = 5, seed: int = 11) -> Scanner:
     notice = lambda w: any(len(x & _pairs(w)) >= 0.5 * len(x) for x in shapes) or any(confirmed(w, name, 0.5) for name in KNOWN)
     corpus = [w for line in lines if (w := _words(line)) and not notice(w)]
     kept, held, templates = [w for i, w in enumerate(corpus) if i % 5], corpus[::5], {c: list(t) for c, t in enumerate(TEMPLATES.values())}
-    x, y = _rows(kept, templates, NOTICES[:-2], rng, 1500)
+    x, y = _rows(kept, {c: t[:-1] if len(t) > 2 else t for c, t in templates.items()}, NOTICES[:-2], rng, 1500)
     weights, bias = _fit(x, y, epochs)
-    x, y = _rows(held, templates, NOTICES[-2:] * 4, rng, 800, 0.18)
+    x, y = _rows(held, {c: t[-1:] for c, t in templates.items()}, NOTICES[-2:] * 4, rng, 800, 0.18)
     scores = np.array([weights[ids].sum(0) / np.sqrt(max(len(ids), 1)) + bias for ids in x])
     temperature, add = _calibrated(scores, y)
     scores[:, -1] += add
@@ -249,7 +327,7 @@ def fitted(lines: list[str | None], epochs: int = 5, seed: int = 11) -> Scanner:
     x, y = _rows(corpus, templates, NOTICES, rng, 1500)
     weights, bias = _fit(x, y, epochs)
     bias[-1] += add
-    return Scanner(weights.astype(np.float32), bias, temperature, list(CLASSES), accuracy)
+    return Scanner.of(weights, bias, temperature, list(CLASSES), accuracy)
 
 
 def train(docs: DataFrame, max_paragraphs: int = 4000) -> Scanner:
@@ -262,12 +340,12 @@ def train(docs: DataFrame, max_paragraphs: int = 4000) -> Scanner:
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         s = fitted(group.sort_values(["order", "doc_id", "line"])["line"].tolist())
-        return pd.DataFrame({"weights": [s.weights.tobytes()], "bias": [s.bias.tobytes()], "temperature": [s.temperature], "accuracy": [s.accuracy]})
+        return pd.DataFrame({"grams": [s.grams.tobytes()], "rows": [s.rows.tobytes()], "bias": [s.bias.tobytes()], "temperature": [s.temperature], "accuracy": [s.accuracy]})
 
-    got = picked.withColumn("all", F.lit("all")).groupBy("all").applyInPandas(fit, "weights binary, bias binary, temperature double, accuracy double").first()
+    got = picked.withColumn("all", F.lit("all")).groupBy("all").applyInPandas(fit, "grams binary, rows binary, bias binary, temperature double, accuracy double").first()
     if got is None:
         return fitted([])
-    return Scanner(np.frombuffer(got["weights"], np.float32).reshape(-1, len(CLASSES)), np.frombuffer(got["bias"]), got["temperature"], list(CLASSES), got["accuracy"])
+    return Scanner(np.frombuffer(got["grams"], np.int64), np.frombuffer(got["rows"], np.float32).reshape(-1, len(CLASSES)), np.frombuffer(got["bias"]), got["temperature"], list(CLASSES), got["accuracy"])
 
 
 def _windows(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -345,6 +423,7 @@ def scanned(s: Scanner, texts: Sequence[str | None], likely: float, contained: f
     x = _Batch.of_texts(texts)
     found: list[set[str]] = [set() for _ in texts]
     best, sure, likely_ones = [0.0] * len(texts), set(), set()
+    claims: dict[int, list[tuple[float, int, float, str, set[int], int]]] = defaultdict(list)  # of each text
     if x.words:
         scores = s.scores(x.hashes, x.at, x.end)
         others = len(s.classes) - 1
@@ -354,13 +433,22 @@ def scanned(s: Scanner, texts: Sequence[str | None], likely: float, contained: f
             if p[-1] > 1 - likely:
                 continue
             likely_ones.add(int(x.of[i]))
-            part = x.words[x.at[i] : x.end[i]]
-            ok = [(float(p[c]), name) for c, name in enumerate(s.classes[:-2]) if p[c] >= likely / 2 and confirmed(part, name, contained)]
-            if ok:
-                d = int(x.of_doc[x.of[i]])
-                sure.add(int(x.of[i]))
-                found[d].add(max(ok)[1])
-                best[d] = max(best[d], max(ok)[0])
+            part, pairs = x.words[x.at[i] : x.end[i]], None
+            for c, name in enumerate(s.classes[:-2]):
+                if p[c] >= likely / 2:
+                    pairs = pairs or _pairs(part)
+                    if held := confirmation(pairs, name, contained):
+                        places = {int(x.at[i]) + k for k, pair in enumerate(zip(part, part[1:], strict=False)) if pair in held[2]}
+                        claims[int(x.of_doc[x.of[i]])].append((held[0], held[1], float(p[c]), name, places, int(x.of[i])))
+    for d, own in claims.items():
+        taken: dict[str, set[int]] = defaultdict(set)  # family -> places of its pairs
+        for _, _, prob, name, places, paragraph in sorted(own, key=lambda c: (-c[0], -c[1], -c[2], c[3], c[5])):
+            if any(2 * len(places & theirs) > len(places) for other, theirs in taken.items() if other != name):
+                continue  # the words of a better one
+            taken[name] |= places
+            found[d].add(name)
+            sure.add(paragraph)
+            best[d] = max(best[d], prob)
     count = lambda paragraphs: np.bincount(x.of_doc[sorted(paragraphs)], minlength=len(texts)) if paragraphs else np.zeros(len(texts), np.int64)
     held, n_sure, n_unknown = np.bincount(x.of_doc, minlength=len(texts)), count(sure), count(likely_ones - sure)
     return [(max(int(held[d]), 1), sorted(found[d]), int(n_sure[d]), int(n_unknown[d]), best[d]) for d in range(len(texts))]
