@@ -89,6 +89,63 @@ def coastal_fill(cells: DataFrame, slice_keys: Sequence[str], method: str = "dis
     return both.withColumn("filled", mark).withColumn("value", F.when(F.col("filled"), F.col("fill")).otherwise(F.col("value"))).drop("fill")
 
 
+def gap_patterns(cells: DataFrame, members: Sequence[str], slice_keys: Sequence[str]) -> DataFrame:
+    """members, slice_keys, pattern: slices with the same finite wet cells have the same pattern, whoever's they are.
+
+    cells: members, slice_keys, iy, ix, value, wet.  A pattern is the number of those cells and 128 bits of hashes that don't depend on
+    their order.  A row for each field, not for each cell.
+    """
+    there = F.col("wet") & F.col("value").isNotNull()
+    one, other = (F.when(there, F.xxhash64(F.lit(salt), *SQUARE)) for salt in ("a", "b"))
+    parts = [F.count_if(there), F.coalesce(F.bit_xor(one), F.lit(0)), F.coalesce(F.sum(F.shiftright(other, 24)), F.lit(0)), F.coalesce(F.bit_xor(other), F.lit(0))]
+    return cells.groupBy(*members, *slice_keys).agg(F.concat_ws(":", *[p.cast("string") for p in parts]).alias("pattern"))
+
+
+def fill_weights(cells: DataFrame, slice_keys: Sequence[str], method: str = "distance_weighted", max_steps: int = 12, power: float = 2.0, min_donors: int = 4, first_steps: int = 3) -> DataFrame:
+    """slice_keys, iy, ix, src_iy, src_ix, w: the donors of every pending cell that has any, with weights that sum to one.
+
+    Donors depend on where values are, not on what they are, so one table fills every field with the same gaps.  cells, method and the
+    rest as for coastal_fill, which gives the same values one field at a time.
+    """
+    spark, key = cells.sparkSession, [*slice_keys, *SQUARE]
+    pending, donors = cells.where("wet AND value IS NULL"), cells.where("wet AND value IS NOT NULL")
+    near, far = offsets(spark, min(first_steps, max_steps), power), offsets(spark, max_steps, power)
+    own = W.partitionBy(*key)
+
+    def chosen(pending: DataFrame, table: DataFrame) -> DataFrame:
+        pairs = _donors(pending, donors, slice_keys, table)
+        if method == "nearest":
+            first = F.row_number().over(own.orderBy("rad", "d2", "dy", "dx"))
+            return pairs.withColumn("_first", first).where("_first = 1").withColumns({"w": F.lit(1.0), "enough": F.lit(True)})
+        upto = F.count("*").over(own.orderBy("rad"))  # of whole rings
+        pairs = pairs.withColumn("_n", upto)
+        ring = F.coalesce(F.min(F.when(F.col("_n") >= min_donors, F.col("rad"))).over(own), F.min("rad").over(own))
+        pairs = pairs.withColumns({"_ring": ring, "enough": F.max("_n").over(own) >= min_donors}).where(F.col("rad") <= F.col("_ring"))
+        return pairs.withColumn("w", F.col("w") / F.sum("w").over(own))
+
+    if method not in ("nearest", "distance_weighted"):
+        raise ValueError(f"no fill method {method}")
+    columns = [*key, F.col("_y").alias("src_iy"), F.col("_x").alias("src_ix"), "w"]
+    done = chosen(pending, near).where("enough")
+    if first_steps >= max_steps:
+        return chosen(pending, far).select(*columns)
+    done = checkpointed(done.select(*columns))  # read for itself and for what it leaves
+    rest = pending.join(done.select(*key).distinct(), key, "left_anti")
+    return done.unionByName(chosen(rest, far).select(*columns))
+
+
+def apply_fill(cells: DataFrame, weights: DataFrame, fields: Sequence[str], slice_keys: Sequence[str]) -> DataFrame:
+    """cells (fields, slice_keys, iy, ix, value, wet) with gaps filled by a weights table; filled marks them.
+
+    fields: what tells fields with the same slices apart, members among them; slice_keys: what the weights are for.
+    """
+    values = cells.where("wet AND value IS NOT NULL").select(*fields, *slice_keys, F.col("iy").alias("src_iy"), F.col("ix").alias("src_ix"), "value")
+    found = weights.join(values, [*slice_keys, "src_iy", "src_ix"]).groupBy(*fields, *slice_keys, *SQUARE).agg(F.sum(F.col("w") * F.col("value")).alias("fill"))
+    both = cells.join(found, [*fields, *slice_keys, *SQUARE], "left")
+    mark = F.col("wet") & F.col("value").isNull() & F.col("fill").isNotNull()
+    return both.withColumn("filled", mark).withColumn("value", F.when(F.col("filled"), F.col("fill")).otherwise(F.col("value"))).drop("fill")
+
+
 def _tile_components(group: pd.DataFrame) -> list[str]:
     """For each cell of one tile the name of its 8-connected component: its first cell in row-major order."""
     todo = set(zip(group["iy"].tolist(), group["ix"].tolist(), strict=True))
