@@ -112,11 +112,6 @@ def encoded_dtype(low: Column, high: Column) -> Column:
     return F.when(fits("int16"), "int16").when(fits("int32"), "int32").otherwise(F.raise_error(F.lit("values are beyond 32 bits at this scale")))
 
 
-def clamped(value: Column, low: Column, high: Column) -> Column:
-    """value within one- or two-sided bounds; a missing value stays missing."""
-    return F.when(value.isNotNull(), F.least(F.greatest(value, low), high))
-
-
 def converted_velocity(value: Column, product: Column, scenario: Column, model: Column, variable: Column, path: Column) -> tuple[Column, Column]:
     """Centimetres a second to metres for the one series delivered in those; (value, conversion note)."""
     applies = (product == "future") & (scenario == "rcp85") & (model == "cesm_f09_g16") & (variable == "uo") & F.contains(F.lower(path), F.lit("uvel"))
@@ -125,3 +120,16 @@ def converted_velocity(value: Column, product: Column, scenario: Column, model:
 
 def csv_safe(text: Column) -> Column:
     return F.regexp_replace(text, "[\\r\\n]+", " ")
+
+
+#: Factors from the unit of a source's depths to that of the reference's.
+DEPTH_FACTORS = {"cm:m": 0.01, "m:m": 1.0, "none:m": 1.0, "none:none": 1.0, "m:none": 1.0}
+
+
+def depth_factor(source: Column, target: Column) -> Column:
+    """The factor that turns depths in one unit into another; a pair without one is an error, a missing unit counts as none."""
+    pair = F.concat_ws(":", F.coalesce(F.nullif(F.trim(source), F.lit("")), F.lit("none")), F.coalesce(F.nullif(F.trim(target), F.lit("")), F.lit("none")))
+    out = F.raise_error(F.concat(F.lit("no factor between depth units "), pair)).cast("double")
+    for known, factor in DEPTH_FACTORS.items():
+        out = F.when(pair == known, F.lit(factor)).otherwise(out)
+    return out

@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 
 from pelagia.functions.fields import normalize_units
 from pelagia.schema import GLORYS, HINDCAST
-
-
-def first_step(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The cells of each dataset's first time."""
-    return cells.withColumn("_t", F.min("time").over(W.partitionBy(*keys))).where(F.col("time") == F.col("_t")).drop("_t")
+from pelagia.staging import checkpointed
 
 
 def first_step_stats(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,11 +35,55 @@ def level_stats(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cells.groupBy(*keys).agg(F.min("depth").alias("z_min"), F.max("depth").alias("z_max"), F.count_distinct("depth").alias("levels"))
 
 
+def _axis(points: DataFrame, keys: Sequence[str], low: str, high: str, size: str, inc: str, rtol: float = 1e-4, atol: float = 1e-8) -> DataFrame:
+    """keys, size, step and whether a column or row has several coordinates, of points: a row for each index of an axis.
+
+    The step is the median one where all agree with it; an uneven axis and one of a single value have none.
+    """
+    own = points.select(*keys, F.col(low).alias("_v"), (F.col(low) < F.col(high)).alias("_bent")).groupBy(*keys, "_v").agg(F.bool_or("_bent").alias("_bent"))
+    steps = own.withColumn("_step", F.col("_v") - F.lag("_v").over(W.partitionBy(*keys).orderBy("_v")))  # an axis is some thousands of values
+    out = steps.groupBy(*keys).agg(F.count("*").alias(size), F.percentile("_step", F.lit(0.5)).alias("_mid"), F.min("_step").alias("_least"), F.max("_step").alias("_most"), F.bool_or("_bent").alias(f"_bent_{size}"))
+    near = lambda c: F.abs(F.col(c) - F.col("_mid")) <= atol + rtol * F.abs("_mid")
+    return out.withColumn(inc, F.when(near("_least") & near("_most"), F.round("_mid", 9))).drop("_mid", "_least", "_most")
+
+
+def _grids(by_column: DataFrame, by_row: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, gridtype, sizes and steps, of the columns' and rows' extremes (_lon0, _lon1; _lat0, _lat1)."""
+    both = _axis(by_column, keys, "_lon0", "_lon1", "xsize", "xinc").join(_axis(by_row, keys, "_lat0", "_lat1", "ysize", "yinc"), list(keys))
+    bent = F.col("_bent_xsize") | F.col("_bent_ysize")
+    sizes = by_column.groupBy(*keys).agg(F.count("*").alias("_nx")).join(by_row.groupBy(*keys).agg(F.count("*").alias("_ny")), list(keys))
+    straight = lambda c: F.when(~bent, F.col(c))
+    return both.join(sizes, list(keys)).select(*keys, F.when(bent, "curvilinear").otherwise("lonlat").alias("gridtype"), F.when(bent, F.col("_nx")).otherwise(F.col("xsize")).alias("xsize"), F.when(bent, F.col("_ny")).otherwise(F.col("ysize")).alias("ysize"), straight("xinc").alias("xinc"), straight("yinc").alias("yinc"))
+
+
 def grid_summary(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Type, sizes and steps of the longitude-latitude grid that each dataset's cells lie on; a single row or column has no step."""
-    out = cells.groupBy(*keys).agg(F.count_distinct("lon").alias("xsize"), F.count_distinct("lat").alias("ysize"), F.min("lon").alias("_x0"), F.max("lon").alias("_x1"), F.min("lat").alias("_y0"), F.max("lat").alias("_y1"))
-    step = lambda a, b, n: F.round((F.col(b) - F.col(a)) / F.nullif(F.col(n) - 1, F.lit(0)), 9)
-    return out.select(*keys, F.lit("lonlat").alias("gridtype"), "xsize", "ysize", step("_x0", "_x1", "xsize").alias("xinc"), step("_y0", "_y1", "ysize").alias("yinc"))
+    """Type, sizes and steps of the grid that each dataset's cells (iy, ix, lat, lon) lie on.
+
+    A grid is curvilinear where a column has several longitudes or a row several latitudes; its sizes are those of its indices and it has
+    no steps.  Nor has an uneven axis, or a single row or column.
+    """
+    by_column = cells.groupBy(*keys, "ix").agg(F.min("lon").alias("_lon0"), F.max("lon").alias("_lon1"))
+    by_row = cells.groupBy(*keys, "iy").agg(F.min("lat").alias("_lat0"), F.max("lat").alias("_lat1"))
+    return _grids(by_column, by_row, keys)
+
+
+def product_facts(cells: DataFrame, keys: Sequence[str], half_step: float) -> DataFrame:
+    """One row a dataset: grid, ranges, area mean, levels and count, of one scan of the cells (iz, time, iy, ix, depth, lat, lon, value).
+
+    Each slice, row and column of a dataset is summed side by side (grouping sets); all else is told from those.
+    """
+    area = F.sin(F.radians(F.least(F.col("lat") + half_step, F.lit(90.0)))) - F.sin(F.radians(F.greatest(F.col("lat") - half_step, F.lit(-90.0))))
+    cells = cells.select(*keys, "iz", "time", "iy", "ix", "depth", "lat", "lon", "value", area.alias("_area"))
+    sets = [[F.col(c) for c in (*keys, *more)] for more in (("iz", "time"), ("iy",), ("ix",))]
+    extremes = [f(c).alias(f"_{c}{n}") for c in ("depth", "lat", "lon", "value") for f, n in ((F.min, 0), (F.max, 1))]
+    sums = [F.sum(F.col("value") * F.col("_area")).alias("_sum"), F.sum(F.when(F.col("value").isNotNull(), F.col("_area"))).alias("_held"), F.count("value").alias("_n")]
+    kind = F.when((F.grouping("iy") == 0), "row").when(F.grouping("ix") == 0, "column").otherwise("slice").alias("_kind")
+    parts = checkpointed(cells.groupingSets(sets, *[F.col(c) for c in (*keys, "iz", "time", "iy", "ix")]).agg(kind, *extremes, *sums))
+    slices = parts.where("_kind = 'slice'").groupBy(*keys).agg(
+        F.min("_value0").alias("min"), F.max("_value1").alias("max"), F.sum("_n").alias("n"), F.avg(F.col("_sum") / F.col("_held")).alias("mean"), F.count(F.col("_sum") / F.col("_held")).alias("slices"),
+        F.min("_depth0").alias("z_min"), F.max("_depth1").alias("z_max"), F.count_distinct("_depth0").alias("levels"),
+    )
+    return slices.join(_grids(parts.where("_kind = 'column'"), parts.where("_kind = 'row'"), keys), list(keys))
 
 
 def representative(files: DataFrame, keys: Sequence[str], path: str = "path") -> DataFrame:

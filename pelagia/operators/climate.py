@@ -23,18 +23,35 @@ def monthly_mean(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     return cells.groupBy(*keys, month.alias("month")).agg(F.avg("value").alias("value"))
 
 
-def as_monthly(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Monthly values of series that are daily or monthly already, by how many times their months hold.
+def as_monthly(cells: DataFrame, keys: Sequence[str], steps: DataFrame | None = None, step: str = "auto") -> DataFrame:
+    """Monthly values of series that are daily or monthly already, with source_step.
 
-    A month with one time is taken as it is; one with 28 or more is averaged; anything between is neither, and an error.
+    steps: keys, month, source_step of every month, as its files tell (store.month_steps).  Without it a month with one day is monthly and
+    one with 28 or more is daily; a month in between, or a series with months of both kinds, is an error.  step daily or monthly
+    overrides both.  A month that is said to be monthly and has several days at a cell is an error.
     """
     month = F.trunc(F.col("time").cast("date"), "month")
-    times = cells.select(*keys, month.alias("month"), F.to_date("time").alias("_day")).distinct().groupBy(*keys, "month").agg(F.count("*").alias("_days"))
-    kinds = times.groupBy(*keys).agg(F.max("_days").alias("_most"))
-    kinds = kinds.withColumn("_kind", F.when(F.col("_most") == 1, "monthly").when(F.col("_most") >= 28, "daily").otherwise(F.raise_error(F.lit("a series is neither daily nor monthly"))))
     places = [c for c in cells.columns if c not in (*keys, "time", "value")]
-    means = cells.groupBy(*keys, *places, month.alias("time")).agg(F.avg("value").alias("value"))
-    return means.join(kinds.select(*keys, F.col("_kind").alias("source_step")), list(keys))
+    means = cells.groupBy(*keys, *places, month.alias("time")).agg(F.avg("value").alias("value"), F.count_distinct(F.to_date("time")).alias("_times"))
+    if step != "auto":
+        means = means.withColumn("source_step", F.lit(step))
+    elif steps is not None:
+        known = steps.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("month").alias("_month"), "source_step")  # a row a month
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("time") == F.col("_month"))
+        means = means.join(known, same, "left").drop("_month", *[f"_{k}" for k in keys])
+        means = means.withColumn("source_step", F.coalesce("source_step", F.raise_error(F.lit("a month has cells but no files")).cast("string")))
+    else:
+        days = means.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("time").alias("_month")).agg(F.max("_times").alias("_most"))
+        kind = F.when(F.col("_most") == 1, "monthly").when(F.col("_most") >= 28, "daily").otherwise("neither")
+        series = W.partitionBy(*[f"_{k}" for k in keys])  # a row a month
+        days = days.withColumn("source_step", kind).withColumn("_kinds", F.collect_set("source_step").over(series))
+        odd = F.raise_error(F.lit("a series is neither daily nor monthly")).cast("string")
+        days = days.withColumn("source_step", F.when((F.size("_kinds") == 1) & (F.col("source_step") != "neither"), F.col("source_step")).otherwise(odd)).drop("_most", "_kinds")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("time") == F.col("_month"))
+        means = means.join(days, same).drop("_month", *[f"_{k}" for k in keys])
+    several = (F.col("source_step") == "monthly") & (F.col("_times") > 1)
+    value = F.when(several, F.raise_error(F.lit("a monthly series has several times in a month")).cast("double")).otherwise(F.col("value"))
+    return means.withColumn("value", value).drop("_times")
 
 
 def in_windows(cells: DataFrame, windows: DataFrame) -> DataFrame:
@@ -73,8 +90,9 @@ def month_counts(cells: DataFrame, windows: DataFrame, keys: Sequence[str], expe
 def prefer_whole(series: DataFrame, keys: Sequence[str], rank: Column) -> DataFrame:
     """Of each key the rows of the best rank: an unsplit series before its chunks."""
     ranked = series.withColumn("_rank", rank)
-    best = F.min("_rank").over(W.partitionBy(*keys))
-    return ranked.withColumn("_best", best).where("_rank = _best").drop("_rank", "_best")
+    best = ranked.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min("_rank").alias("_best"))  # a row a key
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_rank") == F.col("_best"))
+    return ranked.join(best, same, "left_semi").drop("_rank")
 
 
 def change_field(future: DataFrame, base: DataFrame, keys: Sequence[str], mode: str | Column = "additive", variable: str = "variable") -> DataFrame:
@@ -111,16 +129,19 @@ def clamp(cells: DataFrame, bounds: dict[str, tuple[float | None, float | None]]
     return cells.withColumns({"value": F.when(v.isNotNull(), F.least(F.greatest(v, low), high)), "clipped": side})
 
 
-def paired(future: DataFrame, base: DataFrame, keys: Sequence[str], windows: DataFrame, member: str = "member") -> DataFrame:
+def paired(future: DataFrame, base: DataFrame, keys: Sequence[str], windows: DataFrame, member: str = "member", strict: bool = False) -> DataFrame:
     """Groups of the future with what they lack: keys, member, window, status.
 
     windows: keys, window, n_files of each group's windows that were asked for.  Statuses, the first that holds: no_baseline;
-    member_mismatch (the baseline has other members only); no_file (nothing in that window); ok.
+    member_mismatch (the baseline has other members only); no_file (nothing in that window); ok.  strict: a mismatch is an error.
     """
     own = future.select(*keys, member).distinct()
     held = base.select(*keys, member).distinct().groupBy(*keys).agg(F.collect_set(member).alias("_members"))
     rows = own.join(held, list(keys), "left").join(windows, list(keys), "left")
     status = F.when(F.col("_members").isNull(), "no_baseline").when(~F.array_contains("_members", F.col(member)), "member_mismatch").when(F.coalesce("n_files", F.lit(0)) == 0, "no_file").otherwise("ok")
+    if strict:
+        named = F.concat_ws(" ", F.lit("historical and future members differ:"), *[F.col(k).cast("string") for k in keys], F.col(member))
+        status = F.when(status == "member_mismatch", F.raise_error(named).cast("string")).otherwise(status)
     return rows.withColumn("status", status).drop("_members")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -66,30 +66,49 @@ def depth_bins(cells: DataFrame, layers: DataFrame, bins: DataFrame, keys: Seque
     return out.withColumn("method", F.when(F.col("levels") == 1, "single_level").otherwise("thickness_weighted_mean"))
 
 
-def vertical_weights(source: DataFrame, target: DataFrame, z_scale: float = 1.0) -> DataFrame:
-    """iz_out, depth_out and up to two (iz, w): the source levels around each target depth.
+def vertical_weights(source: DataFrame, target: DataFrame, z_scale: Column | float = 1.0, axis: Sequence[str] = ()) -> DataFrame:
+    """axis, iz_out, depth_out and up to two (iz, w): the source levels around each target depth.
 
-    Depths outside the source's range get no row.  source, target: iz, depth of one axis each.
+    Depths outside the source's range get no row.  source: axis, iz, depth; target: iz, depth.  axis names columns that tell source axes
+    apart, none where there is one; z_scale may depend on them.
     """
-    w = W.orderBy("depth")  # a vertical axis is a handful of levels
-    s = source.select("iz", (F.col("depth") * z_scale).alias("depth"))
-    pair = s.select(F.col("iz").alias("iz0"), F.col("depth").alias("d0"), F.lead("iz").over(w).alias("iz1"), F.lead("depth").over(w).alias("d1"))
+    w = W.partitionBy(*axis).orderBy("depth")  # a vertical axis is a handful of levels
+    factor = F.lit(z_scale) if isinstance(z_scale, float) else z_scale
+    # A factor leaves digits that a level at the very depth of a target doesn't have.
+    s = source.select(*axis, "iz", F.when(factor == 1.0, F.col("depth")).otherwise(F.round(F.col("depth") * factor, 9)).alias("depth"))
+    pair = s.select(*axis, F.col("iz").alias("iz0"), F.col("depth").alias("d0"), F.lead("iz").over(w).alias("iz1"), F.lead("depth").over(w).alias("d1"))
     t = target.select(F.col("iz").alias("iz_out"), F.col("depth").alias("depth_out"))
     inside = (F.col("depth_out") >= F.col("d0")) & ((F.col("depth_out") < F.col("d1")) | (F.col("d1").isNull() & (F.col("depth_out") == F.col("d0"))))
     hit = F.broadcast(t).join(pair, inside)
     part = F.when(F.col("d1").isNull(), 0.0).otherwise((F.col("depth_out") - F.col("d0")) / (F.col("d1") - F.col("d0")))
     both = F.array(F.struct(F.col("iz0").alias("iz"), (1 - part).alias("w")), F.struct(F.col("iz1").alias("iz"), part.alias("w")))
-    return hit.select("iz_out", "depth_out", F.inline(both)).where("w > 0")
+    return hit.select(*axis, "iz_out", "depth_out", F.inline(both)).where("w > 0")
 
 
-def vertical_interp(cells: DataFrame, weights: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Linear interpolation to the target depths.  With one neighbour missing the other is used if its weight is at least 0.5."""
+def vertical_interp(cells: DataFrame, weights: DataFrame, keys: Sequence[str], axis: Sequence[str] = ()) -> DataFrame:
+    """Linear interpolation to the target depths.  With one neighbour missing the other is used if its weight is at least 0.5.
+
+    cells carry the axis columns of their own axis where the weights have any.
+    """
     there = F.col("value").isNotNull()
-    grouped = cells.select(*keys, "iz", "value").join(F.broadcast(weights), "iz").groupBy(*keys, "iz_out", "depth_out")
+    grouped = cells.select(*keys, *[a for a in axis if a not in keys], "iz", "value").join(F.broadcast(weights), [*axis, "iz"]).groupBy(*keys, "iz_out", "depth_out")
     out = grouped.agg(F.sum(F.when(there, F.col("w") * F.col("value"))).alias("_sum"), F.sum(F.when(there, F.col("w"))).alias("_w"))
     return out.select(*keys, F.col("iz_out").alias("iz"), F.col("depth_out").alias("depth"), F.when(F.col("_w") >= 0.5, F.col("_sum") / F.col("_w")).alias("value"))
 
 
+def axis_registry(cells: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The vertical axes that occur among datasets (keys): keys, axis_id; and axis_id, iz, depth of each axis once.
+
+    An axis's id is a digest of its levels' numbers and depths, so datasets with the same levels share it.  Cells are reduced to a row for
+    each level of each dataset first.  Two depths of one level are an error.
+    """
+    levels = cells.where("iz IS NOT NULL").groupBy(*keys, "iz").agg(F.min("depth").alias("depth"), F.max("depth").alias("_most"))
+    depth = F.when(F.col("depth") < F.col("_most"), F.raise_error(F.lit("a level has two depths")).cast("double")).otherwise(F.col("depth"))
+    axes = levels.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("iz", depth.alias("depth")))).alias("_levels"))
+    axes = axes.withColumn("axis_id", F.sha2(F.to_json("_levels"), 256).substr(1, 16))
+    return axes.select(*keys, "axis_id"), axes.groupBy("axis_id").agg(F.first("_levels").alias("_l")).select("axis_id", F.inline("_l"))
+
+
 def axis_spacing(points: DataFrame, axis: Sequence[str], value: str, rtol: float = 1e-4, atol: float = 1e-8) -> DataFrame:
     """The median step of each axis and whether all its steps agree with it; fewer than two values are an error."""
     step = F.col(value) - F.lag(value).over(W.partitionBy(*axis).orderBy(value))

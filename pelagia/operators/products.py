@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,12 +23,12 @@ def export_table(cells: DataFrame, provenance: Sequence[str], depth: Column, nam
 def write_export(table: DataFrame, path: str, provenance: Sequence[str], kind: str = "parquet", overwrite: bool = False) -> None:
     """One partition folder for each dataset; overwrite replaces only the partitions that table has.
 
-    In CSV every text is quoted, and line breaks inside one become blanks.
+    In CSV every text is quoted, quotes in one are doubled, and line breaks inside one become blanks.
     """
     if kind == "csv":
         table = table.withColumns({c: csv_safe(F.col(c)) for c, t in table.dtypes if t == "string" and c not in provenance})
     out = table.write.partitionBy(*provenance).mode("overwrite" if overwrite else "append").option("partitionOverwriteMode", "dynamic")
-    out.option("header", True).option("quoteAll", True).csv(path) if kind == "csv" else out.parquet(path)
+    out.option("header", True).option("quoteAll", True).option("escape", chr(34)).csv(path) if kind == "csv" else out.parquet(path)
 
 
 def not_done(wanted: DataFrame, existing: DataFrame, keys: Sequence[str], overwrite: bool = False) -> DataFrame:
@@ -109,3 +111,33 @@ def stage_first_realization(products: DataFrame, resolution: str) -> DataFrame:
     ahead = ahead.withColumn("staged_relative_path", F.concat_ws("/", "product_type", F.lit("future"), "scenario", "variable", "window", "resolution", "file_name"))
     base = some.where("kind = 'baseline'").withColumn("staged_relative_path", F.concat_ws("/", "product_type", F.lit("baseline"), "variable", "resolution", "file_name"))
     return ahead.unionByName(base)
+
+
+def raster_blocks(coded: DataFrame, dataset: Sequence[str], block: int = 256) -> DataFrame:
+    """Integer rasters (dataset, row, col, stored_value, nodata) as blocks: dataset, block_row, block_col, nodata, height, width, values.
+
+    values are block x block numbers row by row; places without a cell, and those past the raster's edge, hold nodata.  height and width
+    are those of the whole raster, so the edge can be told.  A group is one block, at most block x block rows.
+    """
+    size = coded.groupBy(*dataset).agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))  # a row a raster
+    at = lambda c: F.floor(F.col(c) / block).cast("int")
+    place = F.pmod("row", F.lit(block)) * block + F.pmod("col", F.lit(block))
+    cells = coded.select(*dataset, "nodata", at("row").alias("block_row"), at("col").alias("block_col"), place.cast("int").alias("_place"), "stored_value")
+    kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
+    keys = [*dataset, "nodata", "block_row", "block_col"]
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "values array<int>"])
+
+    def fill(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        values = np.full(block * block, key[len(dataset)], np.int32)
+        values[group["_place"].to_numpy()] = group["stored_value"].to_numpy()
+        return pd.DataFrame([[*key, values]], columns=[*keys, "values"])
+
+    return cells.groupBy(*keys).applyInPandas(fill, schema).join(size, list(dataset)).select(*keys, "height", "width", "values")
+
+
+def unblocked(blocks: DataFrame, dataset: Sequence[str], block: int = 256) -> DataFrame:
+    """The cells of raster_blocks again, by arithmetic: dataset, row, col, stored_value; places that hold nodata have no row."""
+    out = blocks.select(*dataset, "nodata", "height", "width", "block_row", "block_col", F.posexplode("values").alias("_place", "stored_value"))
+    row, col = F.col("block_row") * block + F.floor(F.col("_place") / block), F.col("block_col") * block + F.pmod("_place", F.lit(block))
+    out = out.withColumns({"row": row.cast("int"), "col": col.cast("int")})
+    return out.where((F.col("stored_value") != F.col("nodata")) & (F.col("row") < F.col("height")) & (F.col("col") < F.col("width"))).select(*dataset, "row", "col", "stored_value")

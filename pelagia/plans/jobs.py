@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pelagia.functions.fields import depth_factor
 from pelagia.operators import audit, climate, columns, manifest, products, remap
+from pelagia.staging import checkpointed
 
 
 def prepare_monthly(cells: DataFrame, keys: Sequence[str], weights: DataFrame | None = None, policy: str = "all") -> DataFrame:
@@ -21,6 +23,23 @@ def to_reference_levels(cells: DataFrame, source: DataFrame, target: DataFrame,
     return columns.vertical_interp(cells, columns.vertical_weights(source, target, z_scale), keys)
 
 
+def all_to_reference_levels(cells: DataFrame, target: DataFrame, datasets: Sequence[str], keys: Sequence[str], units: DataFrame | None = None, target_units: str = "m") -> DataFrame:
+    """Fields of datasets with axes of their own, all on the levels of a reference axis, in one job.
+
+    Each axis that occurs is registered by its content and weighed once for each unit.  units: datasets, z_units, where not all are in
+    target_units; a pair of units without a factor is an error.  keys: what to keep besides, iy and ix among them.
+    """
+    members, axes = columns.axis_registry(cells, datasets)
+    if units is not None:
+        members = members.join(units.select(*datasets, "z_units"), list(datasets), "left")
+    else:
+        members = members.withColumn("z_units", F.lit(target_units))
+    members = checkpointed(members.withColumn("z_units", F.coalesce("z_units", F.lit("none"))))  # a row a dataset
+    kinds = members.select("axis_id", "z_units").distinct().join(axes, "axis_id")
+    weights = columns.vertical_weights(kinds, target, depth_factor(F.col("z_units"), F.lit(target_units)), ["axis_id", "z_units"])
+    return columns.vertical_interp(cells.join(members, list(datasets)), weights, [*datasets, *keys], ["axis_id", "z_units"])
+
+
 def discover(docs: DataFrame, windows: DataFrame, experiments: DataFrame, variables: DataFrame, prefer: Sequence[Column]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """From archive documents to the files to fetch, their coverage checks and the summary by source.
 
@@ -52,10 +71,10 @@ def audit_inputs(cells: DataFrame, files: DataFrame, base: DataFrame, keys: Sequ
 def audit_products(product_cells: DataFrame, meta: DataFrame, baseline_cells: DataFrame, baselines: DataFrame, keys: Sequence[str], half_step: float) -> DataFrame:
     """One row a product: grid, ranges, area mean, levels, its baseline, whether the grids agree, and its status.
 
-    meta: keys, variable, resolution.  baseline_cells: baseline_path, lat, lon.  baselines: as for audit.baseline_lookup.
+    meta: keys, variable, resolution.  baseline_cells: baseline_path, iy, ix, lat, lon.  baselines: as for audit.baseline_lookup.
+    The products' cells are read once.
     """
-    rows = meta.join(audit.grid_summary(product_cells, keys), list(keys), "left").join(audit.field_stats(product_cells, keys), list(keys), "left")
-    rows = rows.join(audit.field_mean(product_cells, keys, ["iz", "time"], half_step), list(keys), "left").join(audit.level_stats(product_cells, keys), list(keys), "left")
+    rows = meta.join(audit.product_facts(product_cells, keys, half_step), list(keys), "left")
     found = audit.baseline_lookup(rows, baselines)
     matched = audit.grid_match(found, audit.grid_summary(baseline_cells, ["baseline_path"]), ["baseline_path"])
     status = audit.product_status(F.col("expected_resolution"), F.col("baseline_exists"), F.col("grid_matches_baseline"), F.coalesce(F.col("n") > 0, F.lit(False)))
