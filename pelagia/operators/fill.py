@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pelagia.staging import checkpointed
+from pelagia.staging import checkpointed, staged_path
 
 SQUARE = ["iy", "ix"]
 
@@ -219,19 +219,157 @@ def propagate(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["iy", "ix", "fill"])
 
 
-def force_complete(cells: DataFrame, slice_keys: Sequence[str], checkpoint=None, tile: int = 64) -> DataFrame:
+_AROUND = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if a or b]
+
+
+def component_sizes(parts: DataFrame, slice_keys: Sequence[str], large: int = 200_000) -> DataFrame:
+    """slice_keys, component, cells, is_large: what to look at before a long run.  parts: as pending_components gives them."""
+    return parts.groupBy(*slice_keys, "component").agg(F.count("*").alias("cells")).withColumn("is_large", F.col("cells") > large)
+
+
+def _tile_rounds(state: DataFrame, slice_keys: Sequence[str], tile: int, column: str, step, keep) -> DataFrame:
+    """state (slice_keys, iy, ix, pending, column, ...) with `step` applied to each tile and its rim of neighbours until nothing changes.
+
+    step: (grids of pending, of column, and of the other columns; by the place in a tile with a rim of one) -> the grid of column.  A round
+    moves values by a tile at most, so there are about as many rounds as tiles on the longest way.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in state.schema}
+    names = list(state.columns)
+    others = [c for c in names if c not in (*slice_keys, *SQUARE, "pending", column)]
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in state.columns), "_changed boolean"])
+    side = tile + 2
+
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        top, left = key[-2] * tile - 1, key[-1] * tile - 1
+        y, x = group["iy"].to_numpy() - top, group["ix"].to_numpy() - left
+        grids = []
+        for c in ("pending", column, *others):
+            grid = np.zeros((side, side), bool) if c == "pending" else np.full((side, side), np.nan)
+            grid[y, x] = group[c].to_numpy(bool if c == "pending" else np.float64, na_value=False if c == "pending" else np.nan)
+            grids.append(grid)
+        old = grids[1].copy()
+        new = step(*grids)
+        own = group["_own"].to_numpy(bool)
+        out = group[own][names].copy()
+        y, x = y[own], x[own]
+        out[column] = new[y, x]
+        if not kinds[column].startswith("double"):
+            out[column] = out[column].astype("Int64")
+        out["_changed"] = (new[y, x] != old[y, x]) & ~(np.isnan(new[y, x]) & np.isnan(old[y, x]))
+        return out
+
+    at = lambda c, d: F.floor((F.col(c) + d) / tile).cast("int")
+    tiles = F.array_distinct(F.array(*[F.struct(at("iy", a).alias("v"), at("ix", b).alias("u")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
+    while True:
+        spread = state.withColumn("_t", F.explode(tiles)).select(*state.columns, F.col("_t.v").alias("_v"), F.col("_t.u").alias("_u"))
+        spread = spread.withColumn("_own", (F.col("_v") == at("iy", 0)) & (F.col("_u") == at("ix", 0)))
+        done = keep(spread.groupBy(*slice_keys, "_v", "_u").applyInPandas(run, schema))
+        state = done.drop("_changed")
+        if done.where("_changed").limit(1).count() == 0:
+            return state
+
+
+def _levels_of_tile(pending: np.ndarray, level: np.ndarray, *_: np.ndarray) -> np.ndarray:
+    """Steps from the first cells of the queue, through pending cells."""
+    grid = np.where(np.isnan(level), np.inf, level)
+    while True:
+        around = np.pad(grid, 1, constant_values=np.inf)
+        best = np.min([around[1 + a : 1 + a + len(grid), 1 + b : 1 + b + len(grid)] for a, b in _AROUND], axis=0) + 1
+        new = np.where(pending, np.minimum(grid, best), grid)
+        if (new == grid).all():
+            return np.where(np.isinf(new), np.nan, new)
+        grid = new
+
+
+def _values_of_tile(pending: np.ndarray, value: np.ndarray, level: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Cells of the queue in its order, as far as all before them that touch them are known: the mean of those."""
+    value, last = value.copy(), len(value) - 1
+    todo = np.argwhere(pending & np.isnan(value) & ~np.isnan(level))
+    todo = todo[((todo > 0) & (todo < last)).all(1)]
+    for y, x in todo[np.lexsort((rank[tuple(todo.T)], level[tuple(todo.T)]))].tolist():
+        near, ready = [], True
+        for a, b in _AROUND:
+            j, i = y + a, x + b
+            if pending[j, i] and not np.isnan(level[j, i]) and (level[j, i], rank[j, i]) < (level[y, x], rank[y, x]):
+                ready = ready and not np.isnan(value[j, i])
+            if not np.isnan(value[j, i]):
+                near.append(value[j, i])
+        if ready:
+            value[y, x] = float(np.mean(near))
+    return value
+
+
+def _queue_ranks(levelled: DataFrame, slice_keys: Sequence[str], keep) -> DataFrame:
+    """levelled (slice_keys, iy, ix, level) with rank: the order of a level's cells in one first-in first-out queue.
+
+    The first level is in row-major order.  A later cell comes when the first of its neighbours in the level before takes its turn, and
+    that one's neighbours come in row-major order: by (its rank, place among its neighbours).  Those pairs are numbers that grow by a
+    digit a level, until they are numbered anew.  Each level reads its own cells alone.
+    """
+    from pelagia.operators.products import numbered
+
+    spark, key = levelled.sparkSession, [*slice_keys, *SQUARE]
+    path = staged_path(spark, "queue_levels")
+    levelled.where("level IS NOT NULL").write.partitionBy("level").parquet(path)
+    stored = spark.read.schema(levelled.schema).parquet(path)
+    last = stored.agg(F.max("level")).first()[0]
+    if last is None:
+        return levelled.withColumn("rank", F.lit(None).cast("long"))
+    ring = F.broadcast(offsets(spark, 1, 1.0).select("dy", "dx", ((F.col("dy") + 1) * 3 + F.col("dx") + 1).alias("_o")))
+    front = keep(numbered(stored.where("level = 0").withColumn("_by", F.struct(*key)), "_by", "rank").select(*key, F.col("rank").cast("long")))
+    out, digits = [front.withColumn("level", F.lit(0))], 10
+    for level in range(1, last + 1):
+        first = front.crossJoin(ring).select(*slice_keys, (F.col("iy") + F.col("dy")).alias("iy"), (F.col("ix") + F.col("dx")).alias("ix"), (F.col("rank") * 9 + F.col("_o")).alias("_rank"))
+        front = stored.where(F.col("level") == level).select(*key).join(first, key).groupBy(*key).agg(F.min("_rank").alias("rank"))
+        digits += 1
+        if digits > 18:
+            front, digits = numbered(front.withColumn("_by", F.col("rank")).drop("rank"), "_by", "rank").select(*key, F.col("rank").cast("long")), 10
+        front = keep(front)
+        out.append(front.withColumn("level", F.lit(level)))
+    while len(out) > 1:  # a balanced tree of unions
+        out = [out[i].unionByName(out[i + 1]) if i + 1 < len(out) else out[i] for i in range(0, len(out), 2)]
+    return levelled.join(out[0].select(*key, "rank"), key, "left")
+
+
+def propagate_by_tiles(pending: DataFrame, halo: DataFrame, slice_keys: Sequence[str], checkpoint=None, tile: int = 64) -> DataFrame:
+    """slice_keys, iy, ix, fill: what one queue over each component of pending cells gives, with no task that holds more than a tile.
+
+    The order of the queue depends on the mask alone: the number of steps from its first cells (tile by tile, until nothing changes),
+    then the order within each number of steps.  With that known a cell is the mean of what is finite before it among its neighbours, which
+    tiles work out side by side, as far as their neighbours are done, in as many rounds as the longest chain crosses tiles.
+    """
+    keep, key = checkpoint or checkpointed, [*slice_keys, *SQUARE]
+    ring = F.broadcast(offsets(pending.sparkSession, 1, 1.0).select("dy", "dx"))
+    touched = halo.crossJoin(ring).select(*slice_keys, (F.col("iy") + F.col("dy")).alias("iy"), (F.col("ix") + F.col("dx")).alias("ix")).distinct().withColumn("level", F.lit(0))
+    cells = pending.select(*key).join(touched, key, "left").withColumn("pending", F.lit(True))
+    levelled = _tile_rounds(keep(cells), slice_keys, tile, "level", _levels_of_tile, keep).select(*key, "level")
+    ranked = keep(_queue_ranks(levelled, slice_keys, keep))
+    known = halo.select(*key, F.lit(False).alias("pending"), "value", F.lit(None).cast("int").alias("level"), F.lit(None).cast("long").alias("rank"))
+    state = ranked.select(*key, F.lit(True).alias("pending"), F.lit(None).cast("double").alias("value"), "level", "rank").unionByName(known)
+    return _tile_rounds(keep(state), slice_keys, tile, "value", _values_of_tile, keep).where("pending AND value IS NOT NULL").select(*key, F.col("value").alias("fill"))
+
+
+def force_complete(cells: DataFrame, slice_keys: Sequence[str], checkpoint=None, tile: int = 64, large: int = 200_000) -> DataFrame:
     """Fill every wet cell that connects to a finite one, by propagation; `forced` marks them.
 
-    A group is one component of pending cells with the finite cells that touch it, so no task holds a slice.
+    A group is one component of pending cells with the finite cells that touch it, so no task holds a slice; components of more than
+    `large` cells are worked out tile by tile in the same order (component_sizes tells them beforehand).
     """
     key = [*slice_keys, *SQUARE]
     keep = checkpoint or checkpointed
     cells = keep(cells)  # the labels, the halo and the result read it
     parts = keep(pending_components(cells, slice_keys, checkpoint, tile))
     ring = F.broadcast(offsets(cells.sparkSession, 1, 1.0).select("dy", "dx"))
-    edge = parts.crossJoin(ring).select(*slice_keys, (F.col("iy") + F.col("dy")).alias("iy"), (F.col("ix") + F.col("dx")).alias("ix"), "component").distinct()
-    halo = cells.where("wet AND value IS NOT NULL").select(*key, "value").join(edge, key).withColumn("pending", F.lit(False))
-    rows = parts.withColumns({"value": F.lit(None).cast("double"), "pending": F.lit(True)}).unionByName(halo)
+    giants = keep(component_sizes(parts, slice_keys, large).where("is_large").select(*slice_keys, "component"))
+    finite = cells.where("wet AND value IS NOT NULL").select(*key, "value")
+
+    def halo(parts: DataFrame, *more: str) -> DataFrame:
+        edge = parts.crossJoin(ring).select(*slice_keys, (F.col("iy") + F.col("dy")).alias("iy"), (F.col("ix") + F.col("dx")).alias("ix"), *more).distinct()
+        return finite.join(edge, key)
+
+    several = giants.limit(1).count() > 0
+    small = parts.join(giants, [*slice_keys, "component"], "left_anti") if several else parts
+    rows = small.withColumns({"value": F.lit(None).cast("double"), "pending": F.lit(True)}).unionByName(halo(small, "component").withColumn("pending", F.lit(False)))
     kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in slice_keys), "component string", "iy int", "ix int", "fill double"])
     names = [*slice_keys, "component"]
@@ -243,6 +381,9 @@ def force_complete(cells: DataFrame, slice_keys: Sequence[str], checkpoint=None,
         return out[[*names, "iy", "ix", "fill"]]
 
     done = rows.groupBy(*names).applyInPandas(run, schema).drop("component")
+    if several:
+        giant = keep(parts.join(giants, [*slice_keys, "component"]).select(*key))
+        done = done.unionByName(propagate_by_tiles(giant, keep(halo(giant)), slice_keys, keep, tile))
     both = cells.join(done, key, "left")
     return both.withColumn("forced", F.col("wet") & F.col("value").isNull() & F.col("fill").isNotNull()).withColumn("value", F.when(F.col("forced"), F.col("fill")).otherwise(F.col("value"))).drop("fill")
 
