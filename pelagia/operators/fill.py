@@ -89,6 +89,76 @@ def coastal_fill(cells: DataFrame, slice_keys: Sequence[str], method: str = "dis
     return both.withColumn("filled", mark).withColumn("value", F.when(F.col("filled"), F.col("fill")).otherwise(F.col("value"))).drop("fill")
 
 
+def _rings(steps: int, power: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each radius the offsets of its ring, nearest first, then by dy and dx, and their weights."""
+    out = []
+    for r in range(1, steps + 1):
+        ring = sorted((dy * dy + dx * dx, dy, dx) for dy in range(-r, r + 1) for dx in range(-r, r + 1) if max(abs(dy), abs(dx)) == r)
+        d2, dy, dx = np.array(ring).T
+        out.append((dy, dx, np.sqrt(d2.astype(float)) ** -power))
+    return out
+
+
+def _filled_tile(grid: np.ndarray, y: np.ndarray, x: np.ndarray, rings: list, method: str, least: int) -> np.ndarray:
+    """The fill of the places (y, x) of a grid of values (NaN: none), ring by ring; only those without enough donors go on."""
+    fill, first = np.full(len(y), np.nan), np.full(len(y), np.nan)
+    n, wv, w = np.zeros(len(y), np.int64), np.zeros(len(y)), np.zeros(len(y))
+    left = np.arange(len(y))
+    for dy, dx, weight in rings:
+        near = grid[y[left, None] + dy, x[left, None] + dx]
+        there = ~np.isnan(near)
+        if method == "nearest":
+            held = there.any(1)
+            fill[left[held]] = near[held, there[held].argmax(1)]
+            left = left[~held]
+        else:
+            n[left] += there.sum(1)
+            wv[left] += np.where(there, near, 0.0) @ weight
+            w[left] += there @ weight
+            new = left[np.isnan(first[left]) & (n[left] > 0)]
+            first[new] = wv[new] / w[new]
+            enough = n[left] >= least
+            fill[left[enough]] = wv[left[enough]] / w[left[enough]]
+            left = left[~enough]
+        if not len(left):
+            break
+    return fill if method == "nearest" else np.where(np.isnan(fill), first, fill)
+
+
+def coastal_fill_by_tiles(cells: DataFrame, slice_keys: Sequence[str], method: str = "distance_weighted", max_steps: int = 12, power: float = 2.0, min_donors: int = 4, tile: int = 64) -> DataFrame:
+    """What coastal_fill gives, tile by tile: a tile with gaps meets the wet cells up to max_steps around it, and sums rings in arrays.
+
+    A cell travels to its own tile and to those it is near to, (1 + 2 * max_steps / tile)^2 rows at most for a cell, where the search by
+    offsets deals (2 * max_steps + 1)^2 rows for each gap.  Tiles without gaps stay where they are.  cells are read twice: stage them.
+    """
+    if method not in ("nearest", "distance_weighted"):
+        raise ValueError(f"no fill method {method}")
+    key, rings = [*slice_keys, *SQUARE], _rings(max_steps, power)
+    kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in key), "fill double"])
+    at = lambda c, d=0: F.floor((F.col(c) + d) / tile).cast("int")
+    here = cells.where("wet").select(*key, "value")
+    gaps = here.where("value IS NULL").select(*slice_keys, at("iy").alias("_v"), at("ix").alias("_u")).distinct()
+    spread = here.withColumn("_v", F.explode(F.sequence(at("iy", -max_steps), at("iy", max_steps)))).withColumn("_u", F.explode(F.sequence(at("ix", -max_steps), at("ix", max_steps))))
+    near = spread.join(gaps, [*slice_keys, "_v", "_u"], "left_semi")
+    side, names = tile + 2 * max_steps, list(slice_keys)
+
+    def run(group_key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        y = group["iy"].to_numpy() - group_key[-2] * tile + max_steps
+        x = group["ix"].to_numpy() - group_key[-1] * tile + max_steps
+        grid = np.full((side, side), np.nan)
+        grid[y, x] = value = group["value"].to_numpy(np.float64, na_value=np.nan)
+        own = np.isnan(value) & (y >= max_steps) & (y < side - max_steps) & (x >= max_steps) & (x < side - max_steps)
+        out = group.loc[own, [*names, *SQUARE]].copy()
+        out["fill"] = _filled_tile(grid, y[own], x[own], rings, method, min_donors)
+        return out[out["fill"].notna()]
+
+    found = near.groupBy(*slice_keys, "_v", "_u").applyInPandas(run, schema)
+    both = cells.join(found, key, "left")
+    mark = F.col("wet") & F.col("value").isNull() & F.col("fill").isNotNull()
+    return both.withColumn("filled", mark).withColumn("value", F.when(F.col("filled"), F.col("fill")).otherwise(F.col("value"))).drop("fill")
+
+
 def gap_patterns(cells: DataFrame, members: Sequence[str], slice_keys: Sequence[str]) -> DataFrame:
     """members, slice_keys, pattern: slices with the same finite wet cells have the same pattern, whoever's they are.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pelagia.operators.climate import apply_delta, clamp
 from pelagia.operators.columns import fill_top
-from pelagia.operators.fill import SQUARE, apply_fill, coastal_fill, fill_fallback, fill_weights, force_complete, gap_patterns, nearest_any_donor, wet_mask
+from pelagia.operators.fill import SQUARE, apply_fill, coastal_fill_by_tiles, fill_fallback, fill_weights, force_complete, gap_patterns, nearest_any_donor, wet_mask
 from pelagia.operators.remap import apply_weights
 from pelagia.staging import checkpointed
 
@@ -45,11 +45,11 @@ def downscale(
         anomaly = apply_weights(anomaly, weights, [*members, "variable", "iz"], policy)
     wet = wet_mask(base, mask)
     if fill_baseline:
-        wet = coastal_fill(wet, ["variable", "iz"], method, max_steps, power, min_donors).drop("filled").withColumn("wet", F.col("wet") | F.col("value").isNotNull())
+        wet = coastal_fill_by_tiles(checkpointed(wet), ["variable", "iz"], method, max_steps, power, min_donors).drop("filled").withColumn("wet", F.col("wet") | F.col("value").isNotNull())
     every = wet.crossJoin(F.broadcast(anomaly.select(*members).distinct())) if members else wet  # a row a member, not a cell
     key = [*members, *cell]
     domain = checkpointed(every.select(*key, "wet").join(anomaly.select(*key, "value"), key, "left"))  # each round of the fill reads it
-    filled = coastal_fill(domain, [*members, "variable", "iz"], method, max_steps, power, min_donors)
+    filled = coastal_fill_by_tiles(domain, [*members, "variable", "iz"], method, max_steps, power, min_donors)
     reviewed = _reviewed(filled, members, complete, fallback)
     out = apply_delta(every, reviewed, key, mode, scale)
     return _finished(out, reviewed, members, bounds, out_weights, policy)
@@ -124,7 +124,7 @@ def ensemble_downscale(
         anomaly = apply_weights(anomaly, weights, [*members, "variable", "iz"], policy)
     wet = wet_mask(base, mask)
     if fill_baseline:
-        wet = coastal_fill(wet, ["variable", "iz"], method, max_steps, power, min_donors).drop("filled").withColumn("wet", F.col("wet") | F.col("value").isNotNull())
+        wet = coastal_fill_by_tiles(checkpointed(wet), ["variable", "iz"], method, max_steps, power, min_donors).drop("filled").withColumn("wet", F.col("wet") | F.col("value").isNotNull())
     wet = checkpointed(wet)  # the domain and the application read it
     domain = checkpointed(ensemble_domain(wet.select(*cell, "wet", "value"), anomaly.select(*members, *cell, "value"), members))
     patterns = checkpointed(gap_patterns(domain, members, ["variable", "iz"]))  # a row a field and level
@@ -142,6 +142,6 @@ def coast_baseline(base: DataFrame, mask: DataFrame, *, weights: DataFrame | Non
     """A baseline that covers a mask's coast: remap, gap fill, propagation, then the nearest finite cell for what is left."""
     cells = base if weights is None else apply_weights(base, weights, ["variable", "iz"], policy)
     wet = checkpointed(wet_mask(cells, mask))  # pending cells, donors, both rounds and the result read it
-    out = coastal_fill(wet, ["variable", "iz"], **fill)
+    out = coastal_fill_by_tiles(wet, ["variable", "iz"], **fill)
     out = force_complete(out, ["variable", "iz"], checkpointed)
     return nearest_any_donor(out, ["variable", "iz"])

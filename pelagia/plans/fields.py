@@ -280,21 +280,21 @@ def _filled_sql(table: str) -> str:
 
 @query(_filled_sql("nearest"))
 def coastal_fill_nearest(spark, sf_dir):
-    cells = _ocean(spark, fix.with_gaps(_delta(spark, sf_dir)))
+    cells = checkpointed(_ocean(spark, fix.with_gaps(_delta(spark, sf_dir))))
     return fill.coastal_fill(cells, ["iz"], "nearest").select(*CELL, r6(), "filled")
 
 
 @query(_filled_sql("idw"))
 def coastal_fill_idw(spark, sf_dir):
-    cells = _ocean(spark, fix.with_gaps(_delta(spark, sf_dir)))
-    return fill.coastal_fill(cells, ["iz"]).select(*CELL, r6(), "filled")
+    cells = checkpointed(_ocean(spark, fix.with_gaps(_delta(spark, sf_dir))))
+    return fill.coastal_fill_by_tiles(cells, ["iz"]).select(*CELL, r6(), "filled")
 
 
 @query(f"""WITH {G.replace("gap AS (SELECT iz, iy, ix, depth, lat, lon, CASE WHEN (7 * ix + 11 * iy + 3 * iz) % 5 >= 2 THEN v END AS v FROM delta)", "gap AS (SELECT iz, iy, ix, CASE WHEN iz >= (ix + iy) % 4 THEN thetao END AS v FROM base)")}, {DONORS}
   SELECT o.iz, o.iy, o.ix, round(coalesce(o.v, f.fill), 6) AS value, o.v IS NULL AND f.fill IS NOT NULL AS filled FROM ocean o LEFT JOIN idw f USING (iz, iy, ix)""")
 def coastal_fill_baseline(spark, sf_dir):
-    cells = _ocean(spark, fix.with_top_gap(_clim(spark, sf_dir, "thetao", "hist")))
-    return fill.coastal_fill(cells, ["iz"]).select(*CELL, r6(), "filled")
+    cells = checkpointed(_ocean(spark, fix.with_top_gap(_clim(spark, sf_dir, "thetao", "hist"))))
+    return fill.coastal_fill_by_tiles(cells, ["iz"]).select(*CELL, r6(), "filled")
 
 
 @query(f"WITH {G} SELECT iz, iy, ix, round(coalesce(v, 0), 6) AS value, v IS NULL AS fallback FROM ocean")
@@ -343,7 +343,7 @@ def review_report(spark, sf_dir):
 @query(f"""WITH {G}, {DONORS}, x AS (SELECT o.iz, o.v, coalesce(o.v, f.fill) AS w, o.v IS NULL AND f.fill IS NOT NULL AS filled FROM ocean o LEFT JOIN idw f USING (iz, iy, ix))
   SELECT iz, count(*) AS cells, count(*) AS wet_cells, count(w) AS valid, count(*) - count(w) AS remaining, count(*) FILTER (WHERE filled) AS n_filled FROM x GROUP BY iz""")
 def fill_report(spark, sf_dir):
-    filled = fill.coastal_fill(_ocean(spark, fix.with_gaps(_delta(spark, sf_dir))), ["iz"])
+    filled = fill.coastal_fill_by_tiles(checkpointed(_ocean(spark, fix.with_gaps(_delta(spark, sf_dir)))), ["iz"])
     return fill.fill_report(filled, ["iz"], ["filled"])
 
 

@@ -76,3 +76,30 @@ def test_too_many_members_and_none(spark, sample):  # noqa: F811
     with pytest.raises(ValueError):
         ensemble_domain(base, change, ["member"], max_members=2)
     assert ensemble_domain(base, change.limit(0), ["member", "window"]).count() == 0
+
+
+@pytest.mark.parametrize("method", ["nearest", "distance_weighted"])
+@pytest.mark.parametrize(("tile", "steps"), [(4, 3), (5, 7), (64, 12)])
+def test_tiles_fill_as_the_search_by_offsets(spark, sample, method, tile, steps):  # noqa: F811
+    a, wet = sample
+    cells = field(spark, a, wet).unionByName(field(spark, a * 2, wet).withColumn("iz", F.lit(1)))
+    tiles, offsets = (f(cells, ["iz"], method, max_steps=steps, **more) for f, more in ((fill.coastal_fill_by_tiles, {"tile": tile}), (fill.coastal_fill, {})))
+    for z in (0, 1):
+        assert np.allclose(array(tiles.where(F.col("iz") == z)), array(offsets.where(F.col("iz") == z)), equal_nan=True, rtol=1e-12)
+    assert tiles.where("filled").count() == offsets.where("filled").count() > 0
+    with pytest.raises(ValueError):
+        fill.coastal_fill_by_tiles(cells, ["iz"], "other")
+
+
+def test_tiles_move_fewer_rows(spark):
+    """A field of 200 x 200 with scattered gaps of a fifth of its cells: rows that travel, by both ways."""
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=(200, 200))
+    a[rng.random(a.shape) < 0.2] = np.nan
+    cells = field(spark, a).cache()
+    pending = cells.where("value IS NULL")
+    by_offsets = pending.count() * 48  # the first search, three steps; more where donors are few
+    at = lambda c, d: F.floor((F.col(c) + d) / 64)
+    by_tiles = cells.withColumn("_v", F.explode(F.sequence(at("iy", -12), at("iy", 12)))).withColumn("_u", F.explode(F.sequence(at("ix", -12), at("ix", 12)))).count()
+    assert by_tiles < 2.1 * 40_000 and by_tiles < by_offsets / 4
+    assert fill.coastal_fill_by_tiles(cells, ["iz"]).where("value IS NULL").count() == 0
