@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pelagia.functions.fields import depth_factor
 from pelagia.operators import audit, climate, columns, manifest, products, remap
+from pelagia.sources.store import Store
 from pelagia.staging import checkpointed
 
 
@@ -58,6 +59,24 @@ def deliver(cells: DataFrame, layers: DataFrame, bins: DataFrame, dataset: Seque
     return coded, products.encode_manifest(coded, dataset)
 
 
+def deliver_tree(tree: DataFrame, cells: DataFrame, layers: DataFrame, bins: DataFrame, store: Store, resolution: str, scale: Column) -> DataFrame:
+    """From a curated product tree to the staged delivery: chosen products, their depth bins as integers, stored, and the manifest.
+
+    tree: what products.curate gives, with product_type and file_name.  cells: path, variable, iz, iy, ix, depth, value of every product's
+    file.  store: keyed by staged_relative_path; products that its newest version has are left out, and all new ones are committed at once,
+    so a run that dies or is repeated leaves one whole version.  The manifest has a row for each delivered product and bin.
+    """
+    staged = products.stage_first_realization(tree, resolution)
+    wanted = checkpointed(store.missing(staged.select("staged_relative_path", "path", "kind", "variable")))  # a row a product
+    own = cells.drop("variable").join(wanted, "path")
+    dataset = ["staged_relative_path", "label"]
+    binned = columns.depth_bins(own, layers, bins, ["staged_relative_path", "kind", "variable", "iy", "ix"]).withColumn("value", F.round("value", 6))
+    coded = products.encode_integer(binned.withColumn("_scale", scale), dataset, F.col("_scale")).drop("_scale")
+    if wanted.limit(1).count():
+        store.commit(store.stage(coded))
+    return products.encode_manifest(store.read(), ["staged_relative_path", "kind", "variable", "label"])
+
+
 def audit_inputs(cells: DataFrame, files: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row a group (keys, among them variable): its representative file, ranges of the source and its baseline, suggestions and status.
 

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from pelagia.operators import climate, manifest, products, remap
 from pelagia.plans import fields, jobs
-from pelagia.plans.fields import _CODED, CELL, PLACE, TARGET, G, r6
+from pelagia.plans.fields import _CODED, CELL, LAYERS, PLACE, TARGET, G, r6
 from pelagia.plans.files import M
 from pelagia.plans.registry import ORACLE_SQL, query
-from pelagia.schema import filled_template, spec
+from pelagia.schema import FINE_BINS, filled_template, spec
 from pelagia.sources import fixtures as fix
 from pelagia.sources import store
 from pelagia.staging import checkpointed, staged_path
@@ -157,6 +157,39 @@ def prepare_monthly_fields(spark, sf_dir):
     return climate.as_monthly(s.select("model", "scenario", "time", *CELL, "value"), ["model", "scenario"], step="daily").withColumn("source_step", F.lit("monthly")).select("model", "scenario", "time", *CELL, "source_step", r6())
 
 
+# ------------------------------------------------------------------------------------- delivery
+
+
+@query(f"""WITH {G}, {LAYERS}, fine AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {a}, {b})" for n, a, b in FINE_BINS)}) t(label, a, b)),
+  mem AS (SELECT model, win, iz, iy, ix, avg(thetao) AS v FROM g JOIN win ON time BETWEEN s AND e WHERE win <> 'hist' GROUP BY ALL),
+  pr AS (SELECT concat('layers/future/ssp585/thetao/', win, '/0p25/', model, '.nc') AS p, 'future' AS kind, iz, iy, ix, v FROM mem WHERE win = 'futB' OR model <> 'M2'
+    UNION ALL SELECT 'layers/baseline/thetao/0p25/filled.nc', 'baseline', iz, iy, ix, thetao FROM base),
+  q AS (SELECT p, kind, label, iy, ix, round(sum(v * (upper - lower)) / sum(upper - lower), 6) AS x FROM pr JOIN layers USING (iz) JOIN fine ON depth >= a AND depth < b GROUP BY ALL)
+  SELECT p AS staged_relative_path, kind, 'thetao' AS variable, label, 100 AS scale_factor, 'int16' AS encoded_dtype, -32768 AS nodata, 0 AS "offset", min(x) AS min_real, max(x) AS max_real,
+    min(round_even(x * 100, 0)::INT) AS min_encoded, max(round_even(x * 100, 0)::INT) AS max_encoded FROM q GROUP BY p, kind, label""")
+def deliver_products(spark, sf_dir):
+    """The whole delivery, run twice over one store: new layout before legacy, filled baseline first, first realization, depth bins, integers, manifest."""
+    s = fix.series(spark, sf_dir)
+    windows = [w for w in fix.WINDOWS if w[0] != "hist"]
+    wide = checkpointed(climate.window_means(s, windows, ["model", *PLACE]))
+    each = climate.merge_time(*[wide.where(f"{w[0]}_rows > 0").select("model", F.lit(w[0]).alias("window"), *PLACE, F.col(w[0]).alias("value")) for w in windows])
+    # A second realization, that is not delivered, and a baseline that a filled one goes before.
+    both = each.withColumn("realization", F.explode(F.array(F.lit("r1i1p1f1"), F.lit("r2i1p1f1")))).withColumn("value", F.when(F.col("realization") == "r1i1p1f1", F.col("value")).otherwise(F.col("value") + 1))
+    base = fields._base(fields._wide(spark, sf_dir))
+    path = F.concat_ws("/", "window", "realization", F.concat("model", F.lit(".nc")))
+    names = [*CELL, "depth", "variable", "value"]
+    cells = checkpointed(both.select(path.alias("path"), *names).unionByName(base.select(F.lit("base/filled.nc").alias("path"), *names)).unionByName(base.select(F.lit("base/plain.nc").alias("path"), *names).withColumn("value", F.col("value") - 5)))
+    found = both.select("model", "realization", F.lit("ssp585").alias("scenario"), "variable", "window", F.lit("0p25").alias("resolution"), path.alias("path")).distinct()
+    known = lambda name: spark.createDataFrame([("thetao", "0p25", f"base/{name}.nc")], "variable string, resolution string, path string")
+    tree = products.curate(found.where("window = 'futA' AND model <> 'M2'"), found, known("plain"), known("filled"))
+    tree = checkpointed(tree.withColumns({"product_type": F.lit("layers"), "file_name": F.element_at(F.split("path", "/"), -1)}))
+    bins = spark.createDataFrame(list(FINE_BINS), "label string, lower double, upper double")
+    delivery = store.Store(spark, staged_path(spark, "delivery"), ["staged_relative_path"])
+    layers = fields._layers(spark, sf_dir)
+    jobs.deliver_tree(tree.where("window = 'futA'"), cells, layers, bins, delivery, "0p25", F.lit(100))
+    return jobs.deliver_tree(tree, cells, layers, bins, delivery, "0p25", F.lit(100))
+
+
 # ------------------------------------------------------------------------------------- pairing and specs
 
 
