@@ -29,14 +29,14 @@ ARCHIVE = "aw AS (SELECT * FROM (VALUES ('historical', '2006-2014', DATE '2006-0
 
 
 def _paths(spark, sf_dir):
-    """Files in both folder layouts: every fourth source in the older one."""
-    f = fix.files(spark, sf_dir).where("o_orderkey % 50 <> 0")
+    """Files in both folder layouts, every fourth in the older one, where a malformed name tells no member."""
+    f = fix.files(spark, sf_dir)
     new = F.concat_ws("/", "source_id", "member_id", "experiment_id", "variable_id", F.lit("parts"), "title")
     old = F.concat_ws("/", "source_id", "experiment_id", "variable_id", F.lit("parts"), "title")
     return f.select(F.when(F.col("o_orderkey") % 4 == 0, old).otherwise(new).alias("path"))
 
 
-@query(f"""WITH {M}, p AS (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS rank FROM m WHERE o_orderkey % 50 <> 0),
+@query(f"""WITH {M}, p AS (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS rank FROM m WHERE NOT (o_orderkey % 4 = 0 AND o_orderkey % 50 = 0)),
   b AS (SELECT *, min(rank) OVER (PARTITION BY source_id, experiment_id, variable_id) AS best FROM p)
   SELECT DISTINCT source_id AS model, member_id AS member, experiment_id AS scenario, variable_id AS variable FROM b WHERE rank = best""")
 def discover_groups(spark, sf_dir):
@@ -192,9 +192,9 @@ def replica_candidates(spark, sf_dir):
     return found.select("o_orderkey", F.array_join("urls", " ").alias("urls"))
 
 
-@query(f"WITH {M} SELECT title, concat_ws('/', '/data', source_id, experiment_id, member_id, variable_id, title) AS target FROM m WHERE o_orderkey % 50 <> 0 ORDER BY time_start, o_orderkey LIMIT 500")
+@query(f"WITH {M} SELECT title, concat_ws('/', '/data', source_id, experiment_id, member_id, variable_id, title) AS target FROM m ORDER BY time_start, o_orderkey LIMIT 500")
 def fetch_plan(spark, sf_dir):
-    f = fix.files(spark, sf_dir).where("o_orderkey % 50 <> 0").withColumn("filename", F.col("title"))
+    f = fix.files(spark, sf_dir).withColumn("filename", F.col("title"))
     return manifest.fetch_plan(f, "/data", ["time_start", "o_orderkey"], 500).select("title", "target")
 
 
@@ -277,14 +277,14 @@ def curate_products(spark, sf_dir):
     return tree.select("kind", "destination", "path")
 
 
-@query("""WITH o AS (SELECT o_orderkey AS pos, concat('p', o_orderkey % 997) AS relative_path, o_totalprice AS max_real, NULL AS crs FROM orders WHERE o_orderkey % 2 = 0), n AS (SELECT o_orderkey AS pos, concat('p', o_orderkey % 1499), o_totalprice + 1, 'EPSG:4326' FROM orders WHERE o_orderkey % 2 = 1),
+@query("""WITH o AS (SELECT o_orderkey AS pos, concat('p', o_orderkey // 3) AS relative_path, o_totalprice AS max_real, NULL AS crs FROM orders WHERE o_orderkey % 2 = 0), n AS (SELECT o_orderkey AS pos, concat('p', o_orderkey // 5), o_totalprice + 1, 'EPSG:4326' FROM orders WHERE o_orderkey % 2 = 1),
   u AS (SELECT 0 AS src, * FROM o UNION ALL SELECT 1, * FROM n), r AS (SELECT *, row_number() OVER (PARTITION BY relative_path ORDER BY src DESC, pos DESC) AS rn, min(src * 1000000000::BIGINT + pos) OVER (PARTITION BY relative_path) AS f FROM u)
   SELECT relative_path, max_real, crs, row_number() OVER (ORDER BY f) AS "order" FROM r WHERE rn = 1""")
 def manifest_merge(spark, sf_dir):
     o = fix.table(spark, sf_dir, "orders")
-    path = lambda n: F.concat(F.lit("p"), (F.col("o_orderkey") % n).cast("string")).alias("relative_path")
-    old = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("pos"), path(997), F.col("o_totalprice").alias("max_real"))
-    new = o.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("pos"), path(1499), (F.col("o_totalprice") + 1).alias("max_real"), F.lit("EPSG:4326").alias("crs"))
+    path = lambda n: F.concat(F.lit("p"), F.floor(F.col("o_orderkey") / n).cast("string")).alias("relative_path")
+    old = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("pos"), path(3), F.col("o_totalprice").alias("max_real"))
+    new = o.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("pos"), path(5), (F.col("o_totalprice") + 1).alias("max_real"), F.lit("EPSG:4326").alias("crs"))
     return products.merge_manifests(old, new, F.col("relative_path")).select("relative_path", "max_real", "crs", "order")
 
 
