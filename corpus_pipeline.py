@@ -6,7 +6,8 @@
 4. mixing: sources are drawn down or repeated towards their target weights; a row for each copy.
 5. packing: the copies' token ids in sequences of at most 2048.
 
-No SQL states the first, third and last stage; tests compare every stage's rows with a brute-force version.
+No SQL states the first, third and last stage; each stage's operator is tested against a plain version, and the stages one after another on
+what they keep and drop.
 
 Cases, the same in all stages: null and empty texts stay through the first three stages and end at the mixing, which takes words;
 repeated rows are rows of their own until near-dedup leaves one; rows without doc_id pass near-dedup as they are and pack like others;
