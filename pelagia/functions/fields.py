@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from pelagia.schema import DEFAULT_SCALE, SCALE_FACTORS
 
+# Fixed values, here and where a pattern or spelling stands in a function below: the names of members, scenarios, files and months, the
+# spellings of units, and what stands for no data, all as the archives and products have them.
 MEMBER = "^r[0-9]+i[0-9]+p[0-9]+f[0-9]+$"
 SCENARIO = "^(historical|ssp[0-9]{3})$"
 NODATA = {"int16": -32768, "int32": -2147483648}

@@ -126,6 +126,9 @@ def product_status(expected: Column, baseline: Column, grid: Column, stats: Colu
     return F.when(~expected, "unexpected_resolution").when(~baseline, "missing_baseline_for_comparison").when(~grid, "grid_mismatch").when(~stats, "stats_missing_or_review").otherwise("ok")
 
 
+# Fixed values of the audits below: unit spellings, statuses, suggestions and the ranges they rest on, as reviewers expect them.
+
+
 def z_scale(units: Column, z_max: Column) -> tuple[Column, Column]:
     """Suggested factor to metres ('' without levels) and why."""
     cm = normalize_units(units).isin("cm", "centimeter", "centimeters")

@@ -51,6 +51,7 @@ def resolve_member(groups: DataFrame, key: Sequence[str], requested: str | None
 
 def extract_manifest(scripts: DataFrame) -> DataFrame:
     """script, filename, url, checksum_type, checksum of the table embedded in each script's text, between its markers."""
+    # The marker and the line's form are fixed by the scripts that archives write.
     mark = "EOF--dataset\\.file\\.url\\.chksum_type\\.chksum"
     body = F.regexp_extract("text", f"(?s)download_files=\"\\$\\(cat <<{mark}\\n(.*?)\\n?{mark}", 1)
     line = "^'([^']+)'\\s+'([^']+)'\\s+'([^']+)'\\s+'([^']+)'$"
