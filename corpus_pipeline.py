@@ -64,7 +64,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """A row for each piece of each sequence."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # The workers still hold what the stages before left in them.
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), max_chunks=200_000, batch_bytes=2 << 20)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

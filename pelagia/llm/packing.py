@@ -75,7 +75,7 @@ class CachedTokenizer:
     where normalisation does more, take the tokenizer's own path.  The caches hold about max_chunks entries and start anew beyond that.
     """
 
-    def __init__(self, path: str, max_chunks: int = 1_000_000):
+    def __init__(self, path: str, max_chunks: int):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
@@ -139,14 +139,15 @@ class CachedTokenizer:
         return out
 
 
-_TOKENIZERS: dict[str, CachedTokenizer] = {}
+MAX_CHUNKS, BATCH = 1_000_000, 8 << 20
+_TOKENIZERS: dict[tuple[str, int], CachedTokenizer] = {}
 
 
-def tokenizer(path: str) -> CachedTokenizer:
+def tokenizer(path: str, max_chunks: int = MAX_CHUNKS) -> CachedTokenizer:
     """One for each Python worker, kept from task to task."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = CachedTokenizer(path)
-    return _TOKENIZERS[path]
+    if (path, max_chunks) not in _TOKENIZERS:
+        _TOKENIZERS[path, max_chunks] = CachedTokenizer(path, max_chunks)
+    return _TOKENIZERS[path, max_chunks]
 
 
 class SumOfSquares:
@@ -215,7 +216,7 @@ def _cut(pieces: list[tuple], window: int) -> Iterator[list[tuple]]:
                 held, room = [], size() if left else 0
 
 
-def _together(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterator[tuple[list, pa.Array]]:
+def _together(batches: Iterator[pa.RecordBatch], size: int = BATCH) -> Iterator[tuple[list, pa.Array]]:
     """doc_ids and texts, small batches put together and large ones cut to about `size` bytes of text."""
     held, many = [], 0
 
@@ -240,9 +241,9 @@ def _together(batches: Iterator[pa.RecordBatch], size: int = 8 << 20) -> Iterato
         yield gathered()
 
 
-def _packer(path: str, window: int, end_id: int):
+def _packer(path: str, window: int, end_id: int, max_chunks: int, batch_bytes: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(path)
+        tok = tokenizer(path, max_chunks)
         state, number = SumOfSquares(window), TaskContext.get().partitionId() << 40
         schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
         rows: list[tuple] = []
@@ -261,7 +262,7 @@ def _packer(path: str, window: int, end_id: int):
             rows.clear()
             return out
 
-        for docs, texts in _together(batches):
+        for docs, texts in _together(batches, batch_bytes):
             for doc, ids in zip(docs, tok.encode(texts, end_id), strict=True):
                 total = len(ids)
                 whole = total // window * window
@@ -281,9 +282,10 @@ def _packer(path: str, window: int, end_id: int):
     return pack
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, max_chunks: int = MAX_CHUNKS, batch_bytes: int = BATCH) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     tokenizer_path: a `tokenizers` JSON file that every executor has at that path, of a tokenizer whose pieces end at white space.
+    max_chunks and batch_bytes (of text encoded at once) bound what a worker holds; smaller ones take longer and give the same ids.
     """
-    return docs.select("doc_id", "text").mapInArrow(_packer(tokenizer_path, window, end_id), SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(_packer(tokenizer_path, window, end_id, max_chunks, batch_bytes), SCHEMA)
