@@ -11,6 +11,7 @@ from pelagia.schema import DEFAULT_SCALE, SCALE_FACTORS
 # spellings of units, and what stands for no data, all as the archives and products have them.
 MEMBER = "^r[0-9]+i[0-9]+p[0-9]+f[0-9]+$"
 SCENARIO = "^(historical|ssp[0-9]{3})$"
+MONTH = "^(?:.*/)?(?:(?![0-9]{6})[^/])*([0-9]{4}(?:0[1-9]|1[0-2]))[^/]*\\.nc$"
 NODATA = {"int16": -32768, "int32": -2147483648}
 
 
@@ -74,10 +75,12 @@ def cesm_member(name: Column) -> Column:
     return F.coalesce(F.nullif(first, F.lit("")), F.nullif(second, F.lit("")), F.lit("unknown_member"))
 
 
-def month_of_name(name: Column) -> Column:
-    """The first six digits of a name when they end in a month, or NULL."""
-    six = F.regexp_extract(F.regexp_replace(name, "^.*/", ""), "[0-9]{6}", 0)
-    return F.when(F.substring(six, 5, 2).between("01", "12"), six)
+def month_of_name(name: Column, pattern: str = MONTH) -> Column:
+    """The month (YYYYMM) in a file's name, or NULL: the first six digits of a .nc file's name when they end in a month.
+
+    Another pattern tells by its first group where else names have it; names that it doesn't match have none.
+    """
+    return F.nullif(F.regexp_extract(name, pattern, 1), F.lit(""))
 
 
 def time_range(name: Column) -> tuple[Column, Column]:
