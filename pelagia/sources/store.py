@@ -22,13 +22,13 @@ TILE = 64
 def write_cells(cells: DataFrame, path: str, by: Sequence[str] = ("variable", "year"), mode: str = "errorifexists") -> None:
     """The cell table, a folder for each value of `by`; year comes from time where cells don't have it.
 
-    Rows are dealt by folder and tile, so that a folder with most of the rows is still written by many tasks, each cell's neighbours
-    together; mode overwrite replaces only the folders that cells have.
+    Rows are dealt by folder and tile, each cell's neighbours together; what is larger than Spark's advisory size of a partition is shared
+    out over several tasks, so that no task's memory grows with a folder or tile.  mode overwrite replaces only the folders that cells have.
     """
     if "year" in by and "year" not in cells.columns:
         cells = cells.withColumn("year", F.year("time"))
     tile = F.floor(F.col("iy") / TILE) * 1000 + F.floor(F.col("ix") / TILE)
-    dealt = cells.repartition(*by, tile).sortWithinPartitions(*by, "iz", "iy", "ix")
+    dealt = cells.withColumn("_tile", tile).hint("rebalance", *[F.col(c) for c in (*by, "_tile")]).sortWithinPartitions(*by, "iz", "iy", "ix").drop("_tile")
     dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
